@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from graniteloom.llm import quality
+from graniteloom.llm import chat, mixing, quality, secrets
 
 _QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
+    "op6_chat_formatting": chat.op6_chat_formatting,
+    "op7_secret_scans": secrets.op7_secret_scans,
+    "op10_source_mixing": mixing.op10_source_mixing,
 }
 _SQL = {
     "op3_quality_rules": quality.OP3_SQL,
+    "op6_chat_formatting": chat.OP6_SQL,
 }
 
 
