@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from graniteloom.llm import chat, mixing, quality, secrets
+from graniteloom.llm import chat, mixing, packing, quality, secrets
 
 _QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_source_mixing": mixing.op10_source_mixing,
 }
 _SQL = {
