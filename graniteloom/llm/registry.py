@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from graniteloom.llm import chat, mixing, packing, quality, secrets
+from graniteloom.llm import chat, mixing, packing, pii, quality, secrets
 
 _QUERIES = {
+    "op2_pii_anchors": pii.op2_pii_anchors,
     "op3_quality_rules": quality.op3_quality_rules,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_secret_scans": secrets.op7_secret_scans,
