@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from graniteloom.llm import chat, mixing, packing, pii, quality, secrets
+from graniteloom.llm import chat, mixing, packing, pii, quality, secrets, toxicity
 
 _QUERIES = {
+    "op1_toxicity_svm": toxicity.op1_toxicity_svm,
     "op2_pii_anchors": pii.op2_pii_anchors,
     "op3_quality_rules": quality.op3_quality_rules,
     "op6_chat_formatting": chat.op6_chat_formatting,
