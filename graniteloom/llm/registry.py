@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graniteloom.llm import chat, jaccard, mixing, packing, pii, quality, secrets, toxicity
+from graniteloom.llm import chat, jaccard, mixing, packing, pii, quality, repeats, secrets, toxicity
 
 _QUERIES = {
     "op1_toxicity_svm": toxicity.op1_toxicity_svm,
@@ -11,6 +11,7 @@ _QUERIES = {
     "op5_ngram_jaccard": jaccard.op5_ngram_jaccard,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op8_repeated_strings": repeats.op8_repeated_strings,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_source_mixing": mixing.op10_source_mixing,
 }
