@@ -36,7 +36,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from graniteloom.llm.common import documents
 
@@ -332,8 +332,9 @@ def _first():
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``df`` with a column ``score``; all other columns stay."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    """``df`` with a column ``score`` (in place of one of that name, if there is one); all other columns stay."""
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c != "score"])
+    fields = T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType())])
     held = df.sparkSession.sparkContext.broadcast(model)  # one table of a quarter of a million numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +346,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 got += [held.value.score(m) for m in scorer(texts.slice(a, 500).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, type=pa.float64())], names=[*batch.schema.names, "score"])
 
-    return df.mapInArrow(run, f"{fields}, `score` double")
+    return df.mapInArrow(run, fields)
 
 
 def held_out(id_col: str = "doc_id"):
