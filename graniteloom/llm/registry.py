@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from graniteloom.llm import chat, jaccard, mixing, packing, pii, quality, repeats, secrets, toxicity
+from graniteloom.llm import chat, jaccard, mixing, packing, pii, quality, repeats, search, secrets, toxicity
 
 _QUERIES = {
     "op1_toxicity_svm": toxicity.op1_toxicity_svm,
     "op2_pii_anchors": pii.op2_pii_anchors,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_bm25_top_k": search.op4_bm25_top_k,
     "op5_ngram_jaccard": jaccard.op5_ngram_jaccard,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_secret_scans": secrets.op7_secret_scans,

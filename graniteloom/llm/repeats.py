@@ -34,7 +34,7 @@ from graniteloom.llm.shingles import U, _tables, mix
 
 LENGTH, ANCHOR = 100, 32
 CROWDED = 20_000
-CHUNK, HELD = 3_000_000, 4_000_000
+CHUNK, HELD = 1_500_000, 1_500_000
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
