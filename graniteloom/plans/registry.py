@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from graniteloom.session import table
+from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -25,18 +23,20 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _load() -> None:
+    from graniteloom.plans import catalog  # noqa: F401  registers on import
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLES)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status counts of the corpus: documents and characters by source and language."""
-    return (
-        table(spark, sf_dir, "documents")
-        .groupBy("source", "lang")
-        .agg(F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("chars"))
-    )
+    """Similar chunks by their hashes, scored and ranked per source."""
+    return queries()["hash_match_topk"](spark, sf_dir)
