@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, functions as F
 
 from graniteloom.functions.classify import licence_family
-from graniteloom.functions.text import clean
+from graniteloom.functions.text import clean, let
 from graniteloom.functions.tokens import DOMAIN_FAMILIES, GENERIC_CALLS, HIGH_SIGNAL_TERMS, TRAITS, call_tokens, domain_terms, families, identifier_term_set, lowered_tokens, semantic_terms
 
 #: What each kind of evidence is called and worth, strongest first. Fixed values.
@@ -117,18 +117,20 @@ def features(prefix: str = "", **c: Column) -> list[Column]:
     Columns by name: identifiers, calls, operators, symbol, path, code.
     """
     terms = semantic_terms(c["identifiers"], c["calls"], c["symbol"], c["path"], c["code"])
+    both = let(terms, lambda ts: F.struct(families(ts, DOMAIN_FAMILIES).alias("families"), families(ts, TRAITS)["active"].alias("traits")))
     return [
         call_tokens(c["calls"]).alias(f"{prefix}calls"), call_tokens(c["calls"], generic=True).alias(f"{prefix}all_calls"),
         identifier_term_set(c["identifiers"], c["symbol"]).alias(f"{prefix}terms"), lowered_tokens(c["operators"]).alias(f"{prefix}operators"),
         domain_terms(c["identifiers"], c["calls"], c["symbol"]).alias(f"{prefix}domain"),
-        families(terms, DOMAIN_FAMILIES).alias(f"{prefix}families"), families(terms, TRAITS)["active"].alias(f"{prefix}traits"),
+        both.alias(f"{prefix}semantic"),
     ]
 
 
 def overlap(a: str, b: str) -> Column:
     """What two chunks' features (prefixes ``a`` and ``b``) have in common, as a struct."""
     both = lambda n: F.array_intersect(F.col(f"{a}{n}"), F.col(f"{b}{n}"))
-    fa, fb = F.col(f"{a}families"), F.col(f"{b}families")
+    fa, fb = F.col(f"{a}semantic.families"), F.col(f"{b}semantic.families")
+    traits = F.array_intersect(F.col(f"{a}semantic.traits"), F.col(f"{b}semantic.traits"))
     shared = F.array_sort(F.array_intersect(fa["active"], fb["active"]))
     generic = F.array(*[F.lit(g) for g in GENERIC_CALLS])
     calls, terms, operators = both("calls"), both("terms"), both("operators")
@@ -137,7 +139,7 @@ def overlap(a: str, b: str) -> Column:
         F.size(F.array_intersect(both("all_calls"), generic)).alias("boilerplate"),
         F.array_sort(both("domain")).alias("domain"), F.array_sort(F.array_intersect(both("domain"), F.array(*[F.lit(t) for t in HIGH_SIGNAL_TERMS]))).alias("high_signal"),
         shared.alias("families"), ((F.size(fa["active"]) > 0) & (F.size(fb["active"]) > 0) & (F.size(shared) == 0)).alias("conflict"),
-        fa["primary"].alias("source_primary"), fb["primary"].alias("candidate_primary"), F.array_sort(both("traits")).alias("traits"),
+        fa["primary"].alias("source_primary"), fb["primary"].alias("candidate_primary"), F.array_sort(traits).alias("traits"),
         ((F.size(calls) > 0).cast("int") + (F.size(terms) > 0).cast("int") + (F.size(operators) > 0).cast("int")).alias("support"),
     )
 

@@ -8,6 +8,11 @@ from pyspark.sql import Column, functions as F
 LONGEST_KEYWORD = 32766
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without white space at either end (all Unicode white space, unlike SQL trim)."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from graniteloom.functions.text import clean, lowered, ordered_distinct
+from graniteloom.functions.text import clean, let, lowered, ordered_distinct
 
 #: Terms and calls that say nothing of what a function does. Fixed values.
 GENERIC_TERMS = "on handler this data event option value currenttarget dataset properties popup close open x".split()
@@ -62,8 +62,8 @@ def _each(values: Column, f) -> Column:
 def identifier_terms(value: Column) -> Column:
     """Lower-case parts of a name, split at case changes, digits and signs, without the generic ones."""
     raw = F.regexp_replace(clean(value), "[.-]", "_")
-    parts = F.regexp_extract_all(raw, F.lit("([A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+)"), F.lit(1))
-    parts = F.when(F.size(parts) > 0, parts).when(raw != "", F.array(clean(value))).otherwise(F.array().cast("array<string>"))
+    found = F.regexp_extract_all(raw, F.lit("([A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+)"), F.lit(1))
+    parts = let(found, lambda ps: F.when(F.size(ps) > 0, ps).when(clean(value) != "", F.array(clean(value))).otherwise(F.array().cast("array<string>")))
     return F.array_distinct(F.filter(F.transform(parts, F.lower), lambda t: ~t.isin(GENERIC_TERMS)))
 
 
@@ -73,8 +73,8 @@ def compact(value: Column) -> Column:
 
 def term_variants(value: Column) -> Column:
     """Parts of a name and, from three characters on, the name run together."""
-    whole = compact(value)
-    return F.array_union(identifier_terms(value), F.when(F.length(whole) >= 3, F.array(whole)).otherwise(F.array().cast("array<string>")))
+    whole = let(compact(value), lambda w: F.when(F.length(w) >= 3, F.array(w)).otherwise(F.array().cast("array<string>")))
+    return F.array_union(identifier_terms(value), whole)
 
 
 def identifier_term_set(identifiers: Column, symbol: Column) -> Column:
@@ -94,7 +94,7 @@ def domain_terms(identifiers: Column, calls: Column, symbol: Column) -> Column:
     """Interaction words among the terms, and compounds found inside names and calls."""
     plain = F.filter(identifier_term_set(identifiers, symbol), lambda t: t.isin(INTERACTION_TERMS))
     joined = F.transform(F.concat(_list(identifiers), _list(calls), F.array(symbol)), compact)
-    compounds = F.filter(F.array(*[F.lit(k) for k in COMPOUND_TERMS]), lambda k: F.exists(joined, lambda x: x.contains(k)))
+    compounds = let(joined, lambda js: F.filter(F.array(*[F.lit(k) for k in COMPOUND_TERMS]), lambda k: F.exists(js, lambda x: x.contains(k))))
     return F.array_union(plain, compounds)
 
 
@@ -107,9 +107,12 @@ def semantic_terms(identifiers: Column, calls: Column, symbol: Column, path: Col
 
 def families(terms: Column, words: dict[str, list[str]]) -> Column:
     """(active, primary): families with two words at least, and of these the one with most (the later name on ties)."""
-    counts = F.array(*[F.struct(F.size(F.array_intersect(terms, F.array(*[F.lit(w) for w in ws]))).alias("n"), F.lit(name).alias("name")) for name, ws in words.items()])
-    active = F.filter(counts, lambda x: x["n"] >= 2)
-    return F.struct(F.array_sort(F.transform(active, lambda x: x["name"])).alias("active"), F.coalesce(F.array_max(active)["name"], F.lit("")).alias("primary"))
+    def of(ts: Column) -> Column:
+        counts = F.array(*[F.struct(F.size(F.array_intersect(ts, F.array(*[F.lit(w) for w in ws]))).alias("n"), F.lit(name).alias("name")) for name, ws in words.items()])
+        told = lambda active: F.struct(F.array_sort(F.transform(active, lambda x: x["name"])).alias("active"), F.coalesce(F.array_max(active)["name"], F.lit("")).alias("primary"))
+        return let(F.filter(counts, lambda x: x["n"] >= 2), told)
+
+    return let(terms, of)
 
 
 def variant_id(chunk: Column, family: Column, name: Column) -> Column:

@@ -194,11 +194,11 @@ _BONUS_SQL = f"CASE {_FAMILY_SQL.replace('CASE ', '', 1).replace(chr(10), ' ')}"
 
 @register("license_risk_levels", f"""WITH r AS (SELECT s_suppkey, {_SPDX_SQL} AS spdx, (abs(s_acctbal) % 1000) / 1000.0 AS base FROM supplier), f AS (SELECT *, {_FAMILY_SQL} AS family FROM r),
 s AS (SELECT *, least(1.0, base + CASE family WHEN 'unknown' THEN 0.05 WHEN 'strong_copyleft' THEN 0.18 WHEN 'weak_copyleft' THEN 0.12 WHEN 'notice' THEN 0.08 WHEN 'public_domain' THEN 0.02 ELSE 0.06 END) AS score FROM f)
-SELECT s_suppkey, family, round(score, 4) AS score, CASE WHEN score >= 0.95 THEN 'critical' WHEN score >= 0.8 THEN 'high' WHEN score >= 0.6 THEN 'medium' ELSE 'low' END AS level FROM s""")
+SELECT s_suppkey, family, round(score, 6) AS score, CASE WHEN score >= 0.95 THEN 'critical' WHEN score >= 0.8 THEN 'high' WHEN score >= 0.6 THEN 'medium' ELSE 'low' END AS level FROM s""")
 def license_risk_levels(spark, sf):
     r = _registry(spark, sf).withColumn("l", classify.licence_family(F.col("spdx")))
     score = review.Cascade((F.abs("s_acctbal") % 1000) / 1000.0).add(F.col("l.bonus")).column()
-    return r.withColumn("score", score).select("s_suppkey", F.col("l.family").alias("family"), F.round("score", 4).alias("score"), review.level(F.col("score")).alias("level"))
+    return r.withColumn("score", score).select("s_suppkey", F.col("l.family").alias("family"), F.round("score", 6).alias("score"), review.level(F.col("score")).alias("level"))
 
 
 @register("cluster_dedupe", f"""WITH {CHUNKS_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY raw_hash ORDER BY length(raw_code) DESC, chunk_id) AS n, count(*) OVER (PARTITION BY raw_hash) AS size FROM chunk)
@@ -570,3 +570,46 @@ def identifier_terms(spark, sf):
     p = table(spark, sf, "part")
     name = F.concat(F.lit("get"), F.initcap(F.regexp_replace("p_name", "[^A-Za-z ]", "")), F.lit("HTTPServer"), F.col("p_size"))
     return p.select("p_partkey", F.array_join(F.array_sort(tokens.identifier_terms(name)), " ").alias("terms"), F.array_join(F.array_sort(tokens.term_variants(name)), " ").alias("variants"))
+
+
+def _chunk_features(spark, sf, prefix):
+    """Documents as chunks with token columns: their words as identifiers, numbers of characters as calls."""
+    ws = T.ordered_distinct(search.words(F.col("text")), 64)
+    d = table(spark, sf, "documents").select("doc_id", "source", "lang", ws.alias("ws"), F.array(F.concat(F.lit("f"), F.col("n_chars") % 9)).alias("calls"), F.array(F.lit("+")).alias("ops"))
+    found = review.features(prefix, identifiers=F.col("ws"), calls=F.col("calls"), operators=F.col("ops"), symbol=F.lit(""), path=F.lit(""), code=F.lit(""))
+    return d.select(F.col("doc_id").cast("string").alias(f"{prefix}id"), F.col("source").alias(f"{prefix}repo"), *found)
+
+
+def _hash_pairs(spark, sf):
+    c = chunks(spark, sf)
+    merged = retrieval.merge_variants(retrieval.hash_hits(c, c))
+    of_source = merged.withColumnRenamed("source_id", "sid").join(_chunk_features(spark, sf, "source_"), F.col("sid") == F.col("source_id"))
+    return of_source.join(_chunk_features(spark, sf, "candidate_"), F.col("chunk_id") == F.col("candidate_id"))
+
+
+@register("rule_review")
+def rule_review(spark, sf):
+    """Reviews of hash matches: overlap, ranking score, risk, what isn't shown left out."""
+    p = _hash_pairs(spark, sf).withColumns({"same_repo": F.col("source_repo") == F.col("candidate_repo"), "file_path": F.col("candidate_id"), "symbol_name": F.lit("s"), "language": F.lit("en")})
+    return retrieval.reviewed(p).select("sid", "chunk_id", "ranking_score", "risk_score", "risk_level", F.col("o.identifiers").alias("identifiers"))
+
+
+@register("hybrid_review")
+def hybrid_review(spark, sf):
+    """Reviews of the same matches as if a vector arm had found every other one too."""
+    p = _hash_pairs(spark, sf).withColumn("o", review.overlap("source_", "candidate_"))
+    by_knn = F.col("candidate_id").cast("bigint") % 2 == 0
+    r = review.hybrid_review(F.lit(1.5), F.lit(True), by_knn, F.col("strongest.type"), F.col("strongest.base"), F.col("evidences"), F.col("o"), review.ranking_score(F.col("o"), F.col("strongest.type"), F.lit(0.75)), F.lit("MIT"))
+    return p.select("sid", "chunk_id", r.alias("r")).select("sid", "chunk_id", "r.*")
+
+
+@register("python_chunks")
+def python_chunks(spark, sf):
+    """The chunker over files made of the tables: a function per document of a few lines, line windows for the rest."""
+    from graniteloom.operators import chunker
+
+    d = table(spark, sf, "documents")
+    name = F.concat(F.lit("f_"), "doc_id")
+    code = F.concat(F.lit("def "), name, F.lit("(a, b):\n    # made\n    c = a + b\n    return "), name, F.lit("(c, 'x')\n"))
+    files = d.select("source", F.concat_ws("/", "source", "doc_id").alias("file_path"), F.when(F.col("doc_id") % 2 == 0, "python").otherwise("unknown").alias("language"), F.when(F.col("doc_id") % 2 == 0, code).otherwise(F.col("text")).alias("text")).withColumnRenamed("source", "repo_id")
+    return chunker.chunk_files(files).select("chunk_id", "file_path", "chunk_type", "symbol_name", "start_line", "end_line", "anonymized_hash", "structure_signature")

@@ -120,3 +120,47 @@ def test_registries(spark):
     got = one(spark, registries.pom_fields(F.lit(pom)))
     assert (got["project_url"], got["scm_url"]) == ("https://p", "https://s")
     assert set(registries.REGISTRIES) >= {"pypi", "npm", "nuget", "maven", "cratesio", "hexpm", "rubygems", "cpan", "hackage", "cocoapods", "packagist", "pubdev", "gomod", "swiftpm"}
+
+
+def overlap_struct(**given):
+    base = {"calls": 0, "identifiers": 0, "operators": 0, "boilerplate": 0, "support": 0}
+    ints = {k: given.get(k, v) for k, v in base.items()}
+    none = F.array().cast("array<string>")
+    lists = {k: F.array(*[F.lit(x) for x in given[k]]) if given.get(k) else none for k in ("domain", "high_signal", "families", "traits")}
+    return F.struct(*[F.lit(v).alias(k) for k, v in ints.items()], *[c.alias(k) for k, c in lists.items()], F.lit(given.get("conflict", False)).alias("conflict"), F.lit(given.get("source_primary", "")).alias("source_primary"), F.lit(given.get("candidate_primary", "")).alias("candidate_primary"))
+
+
+@pytest.mark.parametrize(
+    ("kind", "base", "n", "aggregate", "given", "risk"),
+    [
+        ("raw_hash_match", 0.99, 1, 0.65, {}, 1.0),
+        ("anonymized_hash_match", 0.92, 1, 0.0, {}, 0.95),
+        ("structural_similarity", 0.22, 4, 1.0, {}, 0.35),
+        ("raw_code_match", 0.56, 1, 0.5, {}, 0.55),
+        ("anonymized_code_match", 0.58, 2, 0.5, {"identifiers": 5, "support": 1}, 0.55),
+        ("raw_code_match", 0.56, 1, 0.5, {"calls": 2, "identifiers": 4, "operators": 4, "support": 3}, 0.56 + 0.03 + 0.05 + 4 * 0.008 + 4 * 0.004 + 2 * 0.02),
+        ("raw_code_match", 0.56, 4, 1.0, {"identifiers": 4, "operators": 4, "support": 2, "domain": ["swipe"]}, min(0.68 + 4 * 0.005 + 4 * 0.003, 0.56 + 0.12 + 0.1 + 0.02 + 0.032 + 0.016)),
+        ("raw_code_match", 0.56, 1, 0.5, {"calls": 1, "support": 1, "domain": ["swipe"], "conflict": True}, 0.52),
+        ("raw_code_match", 0.56, 1, 0.5, {"calls": 1, "support": 1, "domain": ["swipe"], "candidate_primary": "config_setter"}, 0.38),
+    ],
+)
+def test_rule_review(spark, kind, base, n, aggregate, given, risk):
+    o = overlap_struct(**given)
+    got = one(spark, review.rule_review(F.lit(kind), F.lit(base), F.lit(n), F.lit(aggregate), o, F.lit(aggregate), F.lit(False)))
+    assert got["risk_score"] == pytest.approx(round(risk, 4), abs=1e-4)
+    assert one(spark, review.rule_review(F.lit(kind), F.lit(base), F.lit(n), F.lit(aggregate), o, F.lit(aggregate), F.lit(True)))["risk_level"] == "same_repo"
+
+
+@pytest.mark.parametrize(
+    ("fused", "rule", "knn", "kind", "base", "n", "given", "spdx", "risk", "told"),
+    [
+        (1.0, True, False, "normalized_hash_match", 0.95, 1, {}, "MIT", 0.9, "normalized_hash_match"),
+        (2.0, True, True, "raw_hash_match", 0.99, 1, {}, "GPL-3.0", 1.0, "raw_hash_match"),
+        (1.0, False, True, "unknown", 0.0, 0, {}, "MIT", 0.52, "embedding_knn_match"),
+        (1.0, False, True, "unknown", 0.0, 0, {"calls": 2, "identifiers": 6, "operators": 6, "support": 3}, "MIT", 0.82, "embedding_knn_match"),
+        (1.0, True, False, "anonymized_code_match", 0.58, 1, {"support": 1}, "", 0.52, "anonymized_code_match"),
+    ],
+)
+def test_hybrid_review(spark, fused, rule, knn, kind, base, n, given, spdx, risk, told):
+    got = one(spark, review.hybrid_review(F.lit(fused), F.lit(rule), F.lit(knn), F.lit(kind), F.lit(base), F.lit(n), overlap_struct(**given), F.lit(fused / 2), F.lit(spdx)))
+    assert got["evidence_type"] == told and got["risk_score"] == pytest.approx(risk, abs=1e-4)
