@@ -52,6 +52,28 @@ def running_totals(lengths: Column, block: int = 256) -> Column:
     return let(lengths, totals)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most so many rows, as rows here are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
+
+
+def release() -> None:
+    """Give what a finished task has freed back to the system, as its Python process lives on beside others."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as spark.checkpoint.dir names it.
 
@@ -80,6 +102,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         atexit.register(self._end)
+        small_batches(spark)
 
     def _end(self) -> None:
         try:
