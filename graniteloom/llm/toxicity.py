@@ -38,13 +38,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from graniteloom.llm.common import documents
+from graniteloom.llm.common import documents, release, small_batches
 
 DECAY = 0.6
-LANDMARKS = 160
+LANDMARKS = 400
 LONGEST = 20
-TRAIN_DOCUMENTS = 6000
-TRAIN_CHARACTERS = 30_000_000
+TRAIN_DOCUMENTS = 5000
+TRAIN_CHARACTERS = 16_000_000
+#: Documents of the sample that the curve from margin to score is fitted on.
+CALIBRATION = 4000
 ROUNDS = 4
 #: Evidence (log-likelihood ratio) from which a unit tells of a label; negative units to choose hard ones from.
 TELLING, NEGATIVES = 24.0, 120_000
@@ -122,15 +124,15 @@ def norms(s: np.ndarray) -> np.ndarray:
 
 
 def kernel(units: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised subsequence kernel of units and landmarks."""
-    tables = np.zeros((len(landmarks), SYMBOLS**3), dtype=np.float32)
-    for places, codes, w, size in expand(landmarks):
-        for r, p in enumerate(places):
-            np.add.at(tables[p], codes[r], w / size[r])
-    out = np.zeros((len(units), len(landmarks)))
-    for places, codes, w, size in expand(units):
-        for m in range(len(landmarks)):
-            out[places, m] = (tables[m][codes] @ w) / size
+    """Normalised subsequence kernel of units and landmarks, through one table of weights at a time."""
+    out, table = np.zeros((len(units), len(landmarks))), np.zeros(SYMBOLS**3, dtype=np.float32)
+    groups = list(expand(units))
+    for marks, mark_codes, mark_weights, mark_size in expand(landmarks):
+        for r, m in enumerate(marks):
+            np.add.at(table, mark_codes[r], mark_weights / mark_size[r])
+            for places, codes, w, size in groups:
+                out[places, m] = (table[codes] @ w) / size
+            table[mark_codes[r]] = 0.0
     return out
 
 
@@ -231,7 +233,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
         share = n_pos / len(texts) if texts else 0.0
         model.offset = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return model
-    bags = [sorted({u for s in _SENTENCE.split(t) for u in units_of(s)}) for t in texts]
+    one: dict[str, str] = {}  # each unit is held once
+    bags = [sorted({one.setdefault(u, u) for s in _SENTENCE.split(t) for u in units_of(s)}) for t in texts]
     pos, neg = Counter(), Counter()
     for y, units in zip(labels, bags, strict=True):
         (pos if y else neg).update(units)
@@ -265,9 +268,12 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
         of = dict(zip(told, model.margins(told), strict=True))
         more = lambda us: sorted((u for u in us if u in tell or of.get(u, NONE) > 0.5), key=lambda u: (-of[u], u))[:3]
         witness = Counter(u for y, units in zip(labels, bags, strict=True) if y for u in more(units)) or witness
-    scorer = Scorer(model)
-    top = np.array(scorer(texts))
-    model.slope, model.offset = _logistic(top, np.array(labels, dtype=float))
+    every = sorted({u for units in bags[:CALIBRATION] for u in units})
+    of = dict(zip(every, model.margins(every).tolist(), strict=True))
+    top = np.array([max((of[u] for u in units), default=NONE) for units in bags[:CALIBRATION]])
+    model.slope, model.offset = _logistic(top, np.array(labels[:CALIBRATION], dtype=float))
+    del bags, one, pos, neg, evidence, of, every
+    release()
     return model
 
 
@@ -287,7 +293,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 class Scorer:
     """Margins of texts, with a bounded table of the words met first."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = 120_000):
         self.model, self.most, self.known = model, most, {}
 
     def _look_up(self, words: list[str]) -> dict[str, float]:
@@ -302,7 +308,7 @@ class Scorer:
         a = 0
         while a < len(texts):
             b, size = a, 0
-            while b < len(texts) and (b == a or size < 4_000_000):
+            while b < len(texts) and (b == a or size < 1_000_000):
                 size += len(texts[b] or "")
                 b += 1
             known, bags = self.known, [set(words_of(t)) if t else set() for t in texts[a:b]]
@@ -342,10 +348,13 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             got: list[float] = []
-            for a in range(0, len(texts), 500):
-                got += [held.value.score(m) for m in scorer(texts.slice(a, 500).to_pylist())]
+            for a in range(0, len(texts), 250):
+                got += [held.value.score(m) for m in scorer(texts.slice(a, 250).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, type=pa.float64())], names=[*batch.schema.names, "score"])
+        scorer.known.clear()
+        release()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, fields)
 
 
