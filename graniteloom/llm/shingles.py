@@ -90,3 +90,27 @@ def set_numbers(shingles: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """One signed 64-bit number per set; equal sets have equal numbers."""
     total = np.concatenate([[U(0)], np.cumsum(mix(shingles ^ U(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)])
     return mix(total[offsets[1:]] - total[offsets[:-1]] + (offsets[1:] - offsets[:-1]).astype(np.uint64)).view(np.int64)
+
+
+def odd_sketches(shingles: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Parity bits of each set: every element flips one of at least two bits an element.
+
+    Two sets' sketches differ in at most as many bits as the sets differ in elements, for certain.
+    """
+    size = np.diff(offsets)
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64))
+    base = np.concatenate([[0], np.cumsum(bits)])
+    owner = np.repeat(np.arange(len(size)), size)
+    at = base[owner] + (mix(shingles ^ U(0x3C6EF372FE94F82B)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=base[-1]) & 1).astype(np.uint8)).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the shorter's length (which keeps the bound)."""
+    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
