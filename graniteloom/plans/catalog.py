@@ -340,7 +340,7 @@ def repo_group_register(spark, sf):
 
 @register("qualify_score", f"""WITH r AS (SELECT s_suppkey, {_SPDX_SQL} AS spdx, s_suppkey % 7 = 0 AS private, s_suppkey % 11 = 0 AS archived, s_suppkey % 4 = 0 AS fork, CAST(abs(s_acctbal) AS BIGINT) AS stars FROM supplier)
 SELECT s_suppkey, CASE WHEN private THEN 'private_repo' WHEN archived THEN 'archived_repo' ELSE 'qualified' END AS reason,
-  CASE WHEN private OR archived THEN 0.0 ELSE round(CASE WHEN spdx <> '' THEN 0.35 ELSE 0 END + CASE WHEN fork THEN 0 ELSE 0.20 END + 0.15 + CASE WHEN stars >= 1000 THEN 0.20 WHEN stars >= 100 THEN 0.10 WHEN stars >= 10 THEN 0.05 ELSE 0 END + 0.10, 4) END AS score FROM r""")
+  CAST(CASE WHEN private OR archived THEN 0.0 ELSE round(CASE WHEN spdx <> '' THEN 0.35 ELSE 0 END + CASE WHEN fork THEN 0 ELSE 0.20 END + 0.15 + CASE WHEN stars >= 1000 THEN 0.20 WHEN stars >= 100 THEN 0.10 WHEN stars >= 10 THEN 0.05 ELSE 0 END + 0.10, 4) END AS DOUBLE) AS score FROM r""")
 def qualify_score(spark, sf):
     k = F.col("s_suppkey")
     q = classify.qualification(F.lit(False), k % 7 == 0, k % 11 == 0, F.col("spdx"), k % 4 == 0, F.lit("main"), F.round(F.abs("s_acctbal")).cast("bigint"), F.lit("x"))
