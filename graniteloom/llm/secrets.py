@@ -31,7 +31,7 @@ LEAST_BITS = {"hex": 3.0, "mixed": 3.7}
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)abcdefghij|0123456789|example|placeholder|changeme|xxxxxxxx",
-    r"^[-=_+/]+|[-=_]{4,}",
+    r"^[-=_+/]+$",
     r"^/?(?:[A-Za-z_-]+/)+[A-Za-z0-9_-]*$",
     r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
 )

@@ -107,6 +107,17 @@ def test_secrets_entropy(spark):
     assert spark.range(1).select(secrets.window_bits(F.lit(s)).alias("b")).first()["b"] == pytest.approx(want)
 
 
+def test_secrets_entropy_behind_signs(spark):
+    """Signs of a rule before or inside a candidate don't hide a key."""
+    key = "9fK3xQ7LmZp2VtR8sWb4"
+    texts = [f"--auth={key}", f"conf[0]={key}", "/wJalrXUtnFEMIK7MDENGbPxRfiCY", f"+{key}", f"AUTH____{key}", "-" * 40, "=-" * 20 + "_+/", "----------part1----------"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in secrets.scan(df, carry=("doc_id",)).select("doc_id", secrets.told(F.col("added")).alias("s")).collect()}
+    assert got == {0: "entropy:0:27", 1: "entropy:7:28", 2: "entropy:0:29", 3: "entropy:0:21", 4: "entropy:0:28", 5: "", 6: "", 7: ""}
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert [clean[i] for i in range(5)] == ["<SECRET>", "conf[0]<SECRET>", "<SECRET>", "<SECRET>", "<SECRET>"] and [clean[i] for i in (5, 6, 7)] == texts[5:]
+
+
 def test_secrets_redact(spark, edges):
     df = spark.createDataFrame([(1, "x password: hunter22z, deadbeefdeadbeefdeadbeef!", "k", 0.5, "b"), (2, None, None, None, None)], DOCS)
     got = {r["doc_id"]: r for r in secrets.redact(df).collect()}
