@@ -279,6 +279,18 @@ def test_search(spark):
         assert [i for _, i, _ in sorted(got.get(q, []))] == want
 
 
+def test_search_repeated_rows(spark):
+    """Rows that repeat an id and text more than k times take one place, in one shard or several."""
+    rows = [(i, f"apple w{i} " + "pear " * (i % 5), "s") for i in range(30)]
+    rows.append((7, "pear apple apple", "s"))  # an id with another text is another document
+    want = None
+    for df in (table(spark, rows).coalesce(1), table(spark, rows + [rows[0]] * 12 + [rows[7]] * 40).coalesce(1), table(spark, [rows[0]] * 40 + rows).repartition(3)):
+        queries = df.where("doc_id = 0").limit(1)
+        got = [(x["rank"], x["doc_id"], x["score"]) for x in search.search(queries, df, k=5).orderBy("rank").collect()]
+        want = want or got
+        assert got == want and [x[0] for x in got] == [1, 2, 3, 4, 5] and got[0][1] == 0
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as pipeline
 
