@@ -35,6 +35,25 @@ from graniteloom.llm.shingles import U, _tables, mix
 LENGTH, ANCHOR = 100, 32
 CROWDED = 20_000
 CHUNK, HELD = 1_500_000, 1_500_000
+#: Places whose hashes are compared at once: each is packed with its hash, in ``PLACE_BITS``, so a block has no more.
+PLACE_BITS = 24
+PLACES = 1 << PLACE_BITS
+
+
+def least_places(h: np.ndarray, reach: int) -> np.ndarray:
+    """For each run of ``reach`` hashes, the place of its least (by the upper bits, leftmost), in blocks of ``PLACES`` that overlap by a run less one."""
+    low = U((1 << PLACE_BITS) - 1)
+    out = np.empty(len(h) - reach + 1, dtype=np.int64)
+    for a in range(0, len(out), PLACES - reach + 1):
+        part = h[a : a + PLACES]
+        least, width = (part & ~low) | np.arange(len(part), dtype=np.uint64), 1
+        while 2 * width <= reach:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < reach:
+            least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
+        out[a : a + len(least)] = a + (least & low).astype(np.int64)
+    return out
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -49,21 +68,14 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     np.cumsum((b.astype(np.uint64) + U(1)) * powers[: len(b)], out=total[1:])
     m = len(b) - ANCHOR + 1
     h = mix((total[ANCHOR:] - total[:m]) * inverse[:m])
-    low = U((1 << 24) - 1)
-    least = (h & ~low) | np.arange(m, dtype=np.uint64)
-    reach, width = LENGTH - ANCHOR + 1, 1
-    while 2 * width <= reach:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < reach:
-        least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
+    anchor = least_places(h, LENGTH - ANCHOR + 1)
     ends = np.cumsum(size)
     starts = ends - size
-    owner = np.repeat(np.arange(len(texts)), size)[: len(least)]
-    p = np.flatnonzero(np.arange(len(least)) + LENGTH <= ends[owner])
+    owner = np.repeat(np.arange(len(texts)), size)[: len(anchor)]
+    p = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= ends[owner])
     if not len(p):
         return none
-    a = (least[p] & low).astype(np.int64)
+    a = anchor[p]
     new = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
     at, lo, hi = a[new], p[new], p[np.concatenate([new[1:], [len(p)]]) - 1]
     of = owner[lo]

@@ -164,6 +164,27 @@ def test_repeats_edges(spark):
     assert repeats.without_repeats(table(spark, rows).limit(0)).count() == 0
 
 
+def test_anchors_in_blocks(monkeypatch):
+    """Blocks of places give the anchors of one block."""
+    texts = [(t or "").encode() for _, t, _ in repeat_corpus()]
+    want = repeats.anchors(texts)
+    for places in (69, 70, 137, 1000):
+        monkeypatch.setattr(repeats, "PLACES", places)
+        assert all((x == y).all() for x, y in zip(want, repeats.anchors(texts), strict=True)), places
+
+
+def test_anchors_of_a_long_text():
+    """Past 16 MiB a text has the anchors that its bytes have elsewhere."""
+    n = (1 << 24) - 2000
+    tail = np.random.default_rng(5).integers(97, 123, size=5000, dtype=np.uint8).tobytes()
+    _, at, h, first, last = repeats.anchors([b"a" * n + tail])
+    _, at_2, h_2, first_2, last_2 = repeats.anchors([tail])
+    mine = at - first >= n  # strings that are in the tail throughout
+    assert mine.sum() > 100 and at.max() > 1 << 24 and (first >= last).all() and (last >= 0).all() and (first <= 68).all()
+    found = set(zip((at[mine] - n).tolist(), h[mine].tolist(), first[mine].tolist(), last[mine].tolist(), strict=True))
+    assert found <= set(zip(at_2.tolist(), h_2.tolist(), first_2.tolist(), last_2.tolist(), strict=True)) and len(found) >= len(at_2) - 1
+
+
 def test_packing(spark):
     r = random.Random(9)
     texts = [None, "", "hello <|endoftext|> there"] + [" ".join(r.choice(["alpha", "beta,", "gamma\n", "déjà", "12345"]) for _ in range(r.randint(1, 900))) for _ in range(60)]
