@@ -172,7 +172,7 @@ def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=["doc_id", "th", "h", "at", "first", "last", "crowded"])
 
 
-_CONTEXT = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("crowded", pa.bool_()), ("around", pa.binary())])
+_CONTEXT = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("crowded", pa.bool_()), ("around", pa.binary())])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,20 +181,20 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a in range(0, batch.num_rows, 200):
             out: list[list] = [[] for _ in _CONTEXT]
             part = batch.slice(a, 200)
-            for doc, text, found in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+            for doc, th, text, found in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = (text or "").encode()
                 for x in found:
                     at, first, last = x["at"], x["first"], x["last"]
-                    for c, v in zip(out, (x["h"], doc, at, first, last, x["crowded"], raw[at - first : at - last + LENGTH]), strict=True):
+                    for c, v in zip(out, (x["h"], doc, th, at, first, last, x["crowded"], raw[at - first : at - last + LENGTH]), strict=True):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, _CONTEXT, strict=True)], schema=_CONTEXT)
 
 
-_SPAN = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+_SPAN = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of repeats, of contexts sorted by (h, doc_id, at): a string is known by what it is and its distance to the anchor.
+    """Spans of repeats, of contexts sorted by (h, doc_id, th, at): a string is known by what it is and its distance to the anchor.
 
     What has been met of one anchor is kept: whole contexts, and their strings once two contexts differ.
     """
@@ -204,16 +204,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return [(o, around[first - o : first - o + LENGTH]) for o in range(first, last - 1, -1)]
 
     for batch in batches:
-        out: list[tuple[int, int, int]] = []
-        cols = [batch.column(i).to_pylist() for i in range(5)] + [batch.column(6).to_pylist()]
-        for h, doc, at, first, last, around in zip(*cols, strict=True):
+        out: list[tuple[int, int, int, int]] = []
+        cols = [batch.column(i).to_pylist() for i in range(6)] + [batch.column(7).to_pylist()]
+        for h, doc, th, at, first, last, around in zip(*cols, strict=True):
             if h != anchor:
                 anchor, before, whole, strings, first_seen = h, None, set(), None, None
-            if (doc, at) == before:
+            if (doc, th, at) == before:
                 continue
-            before = (doc, at)
+            before = (doc, th, at)
             if (first, last, around) in whole:
-                out.append((doc, at - first, at - last + LENGTH))
+                out.append((doc, th, at - first, at - last + LENGTH))
                 continue
             whole.add((first, last, around))
             if first_seen is None:
@@ -226,26 +226,27 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if (o, s) in strings:
                     start = o if start is None else start
                     if o == last:
-                        out.append((doc, at - start, at - o + LENGTH))
+                        out.append((doc, th, at - start, at - o + LENGTH))
                 else:
                     strings.add((o, s))
                     if start is not None:
-                        out.append((doc, at - start, at - (o + 1) + LENGTH))
+                        out.append((doc, th, at - start, at - (o + 1) + LENGTH))
                         start = None
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 3, _SPAN, strict=True)], schema=_SPAN)
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 4, _SPAN, strict=True)], schema=_SPAN)
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, doc_id, start) of every string of crowded anchors; key is a 128-bit hash of the string."""
+    """(key, doc_id, th, start) of every string of crowded anchors; key is a 128-bit hash of the string."""
     for batch in batches:
         for a in range(0, batch.num_rows, 2000):
-            part, keys, docs, starts = batch.slice(a, 2000), [], [], []
-            for doc, at, first, last, around in zip(*(part.column(i).to_pylist() for i in (1, 2, 3, 4, 6)), strict=True):
+            part, keys, docs, hashes, starts = batch.slice(a, 2000), [], [], [], []
+            for doc, th, at, first, last, around in zip(*(part.column(i).to_pylist() for i in (1, 2, 3, 4, 5, 7)), strict=True):
                 for o in range(first, last - 1, -1):
                     keys.append(hashlib.blake2b(around[first - o : first - o + LENGTH], digest_size=16).digest())
                     docs.append(doc)
+                    hashes.append(th)
                     starts.append(at - o)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, type=pa.binary()), pa.array(docs, type=pa.int64()), pa.array(starts, type=pa.int64())], names=["key", "doc_id", "start"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, type=pa.binary()), pa.array(docs, type=pa.int64()), pa.array(hashes, type=pa.int64()), pa.array(starts, type=pa.int64())], names=["key", "doc_id", "th", "start"])
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -291,20 +292,20 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = packed.repartition(n_parts, "bucket").mapInArrow(_recurring, "doc_id bigint, th bigint, h bigint, at int, first int, last int, crowded boolean")
     found = scratch.keep(found, "anchors")
     lists = found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "at", "first", "last", "crowded")).alias("found"))  # as long as the text
-    reached = scratch.keep(with_id.join(lists, ["doc_id", "th"]).select("doc_id", "text", "found", "th"), "texts")
-    context = "h bigint, doc_id bigint, at int, first int, last int, crowded boolean, around binary"
-    around = reached.select("doc_id", "text", "found").mapInArrow(_contexts, context)
-    spans = around.where("NOT crowded").repartition(n_parts, "h").sortWithinPartitions("h", "doc_id", "at").mapInArrow(_compare, "doc_id bigint, start bigint, end bigint")
+    reached = scratch.keep(with_id.join(lists, ["doc_id", "th"]).select("doc_id", "th", "text", "found"), "texts")
+    context = "h bigint, doc_id bigint, th bigint, at int, first int, last int, crowded boolean, around binary"
+    around = reached.select("doc_id", "th", "text", "found").mapInArrow(_contexts, context)
+    spans = around.where("NOT crowded").repartition(n_parts, "h").sortWithinPartitions("h", "doc_id", "th", "at").mapInArrow(_compare, "doc_id bigint, th bigint, start bigint, end bigint")
     spans = scratch.keep(spans, "spans")
     if not found.where("crowded").isEmpty():
-        hot = reached.select("doc_id", "text", F.filter("found", lambda x: x["crowded"]).alias("found")).where(F.size("found") > 0)
-        rows = hot.mapInArrow(_contexts, context).mapInArrow(_strings, "key binary, doc_id bigint, start bigint").distinct()
-        rank = F.row_number().over(W.partitionBy("key").orderBy("doc_id", "start"))
-        again = rows.withColumn("rank", rank).where(F.col("rank") > 1).select("doc_id", "start", (F.col("start") + LENGTH).alias("end"))
+        hot = reached.select("doc_id", "th", "text", F.filter("found", lambda x: x["crowded"]).alias("found")).where(F.size("found") > 0)
+        rows = hot.mapInArrow(_contexts, context).mapInArrow(_strings, "key binary, doc_id bigint, th bigint, start bigint").distinct()
+        rank = F.row_number().over(W.partitionBy("key").orderBy("doc_id", "th", "start"))
+        again = rows.withColumn("rank", rank).where(F.col("rank") > 1).select("doc_id", "th", "start", (F.col("start") + LENGTH).alias("end"))
         spans = spans.unionByName(scratch.keep(again, "crowded"))
-    per = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    per = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     out = "doc_id bigint, th bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text
-    cut = reached.select("doc_id", "th", "text").dropDuplicates(["doc_id", "th"]).join(per, "doc_id").select("doc_id", "th", "text", "spans").mapInArrow(_apply(with_text), out)
+    cut = reached.select("doc_id", "th", "text").dropDuplicates(["doc_id", "th"]).join(per, ["doc_id", "th"]).select("doc_id", "th", "text", "spans").mapInArrow(_apply(with_text), out)
     cut = cut.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), *[F.col(c).alias(f"_{c}") for c in ("n_removed", "n_spans", "kept_sha256", *["kept_text"] * with_text)])
     firsts = with_id.groupBy(F.col("th").alias("_t")).agg(F.min("doc_id").alias("first_doc"))
     plain = docs.select("doc_id", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha"), *[F.col("text")] * with_text)

@@ -13,6 +13,7 @@ from graniteloom.llm import jaccard, mixing, packing, repeats, search
 from graniteloom.llm.common import Scratch
 from graniteloom.llm.components import components
 from graniteloom.llm.shingles import set_numbers, shingle_sets
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, source string, _n int, node long, spans string"
 
@@ -112,6 +113,15 @@ def test_jaccard_edges(spark):
     assert jaccard.linked(df.limit(0)).count() == 0
 
 
+def test_deduplicated_by_id_and_component(spark):
+    """A text isn't lost to another text of its id; near copies of one id or of a smaller id go."""
+    base = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]
+    near = [f"{t} more" for t in base]
+    rows = [(3, base[0]), (7, near[0]), (7, base[1]), (7, near[1]), (7, base[2]), (7, base[2]), (8, base[3]), (8, None), (8, ""), (9, near[2])]
+    out = jaccard.deduplicated(spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, node string"))
+    assert Counter((x["doc_id"], x["text"]) for x in out.collect()) == Counter([(3, base[0]), (7, base[1]), (7, base[2]), (8, base[3]), (8, None), (8, "")])
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links, Scratch(spark, "t"), "c").collect()}
@@ -164,6 +174,23 @@ def test_repeats_edges(spark):
     assert repeats.without_repeats(table(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("crowded", [20_000, 3])
+def test_repeats_of_an_id_with_other_texts(spark, monkeypatch, crowded):
+    """Rows that repeat an id with another text are documents in order of the text's hash."""
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
+    rows = [(i // 3, t, s) for i, t, s in repeat_corpus()]
+    r = random.Random(8)
+    p = "".join(r.choice("abcde") for _ in range(240))
+    rows += [(50, p + "x" * k, "s") for k in range(1, 5)] + [(51, "y" * 150, "s"), (51, "0123456789" * 5 + p, "s"), (52, p + "z", "s")]
+    df = table(spark, rows)
+    hashed = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")).distinct().collect()
+    order = {(x["doc_id"], x["th"]): x["text"] for x in hashed}
+    want = brute_repeats([(k, order[k]) for k in sorted(order)])
+    got = [(x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in repeats.without_repeats(df).collect()]
+    key = {(x["doc_id"], x["text"]): (x["doc_id"], x["th"]) for x in hashed}
+    assert Counter(got) == Counter((i, *want[key[i, t or ""]]) for i, t, _ in rows)
+
+
 def test_anchors_in_blocks(monkeypatch):
     """Blocks of places give the anchors of one block."""
     texts = [(t or "").encode() for _, t, _ in repeat_corpus()]
