@@ -149,6 +149,19 @@ def test_chat_edges(spark):
     assert chat.render(spark.createDataFrame([], s)).count() == 0
 
 
+def test_chat_query_folds(spark, tmp_path, monkeypatch):
+    """The query's rows go through the fold, and rows that tie in a turn stay turns of their own."""
+    folded, fold = [], chat.fold_events
+    monkeypatch.setattr(chat, "fold_events", lambda e: folded.append(e.count()) or fold(e))
+    rows = [(1, None, "user", None), (1, 5, "assistant", "b"), (1, 5, "assistant", "b"), (1, 5, None, "a"), (None, 0, "assistant", "x"), (2, 0, "user", "</s>")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r["conv_id"]: r for r in chat.op6_chat_formatting(spark, str(tmp_path)).collect()}
+    assert folded == [len(rows) + 2]
+    flat = {1: "user\n\n\na\nassistant\nb\nassistant\nb\n", None: "assistant\nx\n", 2: "user\n</s>\n", -1: "user\n</s>[INST] ok [/INST]\nassistant\n</s>[INST] ok [/INST]\n"}
+    assert {i: r["turns_sha256"] for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in flat.items()}
+    assert {i: (r["n_turns"], r["loss_chars"]) for i, r in got.items()} == {1: (4, 2), None: (1, 1), 2: (1, 0), -1: (2, 21)}
+
+
 def test_chat_events(spark):
     r, events, want = random.Random(5), [], {}
     for turn in range(20):
