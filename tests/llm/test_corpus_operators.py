@@ -64,11 +64,11 @@ def brute_components(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("few", [64, 3])
-def test_jaccard(spark, monkeypatch, few):
-    """Also with nearly every group crowded, so that the rounds of leaders do the work."""
-    monkeypatch.setattr(jaccard, "FEW", few)
-    monkeypatch.setattr(jaccard, "LEADERS", 2)
+@pytest.mark.parametrize("how", [{}, {"LEADERS": 6, "SALT": 3, "CROWDED": 4, "BROADCAST_ROWS": 0, "HELD": 50}])
+def test_jaccard(spark, monkeypatch, how):
+    """Also with few leaders a round, hot groups, groups split by later seeds, and joins that are shuffled."""
+    for name, value in how.items():
+        monkeypatch.setattr(jaccard, name, value)
     rows = near_corpus()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.linked(table(spark, rows)).collect()}
     assert got == brute_components(rows)
@@ -85,14 +85,15 @@ def test_signatures_are_exact():
             s = np.concatenate([base[k:], rng.integers(0, 2**63, size=rng.integers(0, max(1, size // 8) + 1), dtype=np.int64).astype(np.uint64)])
             sets.append(np.unique(s))
         flat, at = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-        sig, of = jaccard.signatures(flat, at)
-        have = [set(sig[of == i].tolist()) for i in range(len(sets))]
-        for i in range(len(sets)):
-            for j in range(i):
-                both = len(np.intersect1d(sets[i], sets[j]))
-                union = len(sets[i]) + len(sets[j]) - both
-                if 100 * both >= 80 * union and both != union:
-                    assert have[i] & have[j], (size, i, j)
+        for seed in (0, 1):
+            sig, of = jaccard.signatures(flat, at, seed)
+            have = [set(sig[of == i].tolist()) for i in range(len(sets))]
+            for i in range(len(sets)):
+                for j in range(i):
+                    both = len(np.intersect1d(sets[i], sets[j]))
+                    union = len(sets[i]) + len(sets[j]) - both
+                    if 100 * both >= 80 * union and both != union:
+                        assert have[i] & have[j], (size, i, j)
 
 
 def test_shingles():
