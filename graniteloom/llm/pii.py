@@ -26,7 +26,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from graniteloom.llm.common import documents
 
@@ -185,7 +185,7 @@ _SCHEME_SET, _CUE_SET = frozenset(SCHEMES), frozenset(CUES)
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     anchors, cols = automaton(), list(KINDS)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for batch in batches:
+    for batch in (b.slice(a, 500) for b in batches for a in range(0, max(b.num_rows, 1), 500)):
         found = [find(t.as_py() or "", anchors) for t in batch.column(batch.schema.get_field_index("_text"))]
         arrays = [pa.array([[{"start": s, "end": e} for s, e in f[k]] for f in found], type=kind) for k in cols]
         yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(batch.num_columns - 1)] + arrays, names=batch.schema.names[:-1] + cols)
@@ -199,18 +199,20 @@ def scan(df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ()) ->
     return rows.mapInArrow(_scan, f"{head}, {spans}" if head else spans)
 
 
-def _told(kinds: tuple[str, ...]):
-    parts = [F.transform(F.col(k), lambda s, k=k: F.concat(F.lit(f"{k}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))) for k in kinds]
-    return F.array_join(F.concat(*parts), ",")
+def told(kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of all spans, by kind, then start, comma-joined."""
+
+    def of(kind: str) -> Column:
+        return F.transform(F.col(kind), lambda s: F.concat(F.lit(f"{kind}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))
+
+    return F.array_join(F.concat(*[of(k) for k in kinds]), ",")
 
 
 def op2_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scan of every document."""
     found = scan(documents(spark, sf_dir), carry=("doc_id",))
-    return found.select(
-        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:4]],
-        F.sha2(_told(KINDS[:4]), 256).alias("base_sha256"), _told(KINDS).alias("spans"),
-    )
+    n = {k: F.size(k).cast("long").alias(f"n_{k}") for k in KINDS}
+    return found.select("doc_id", *[n[k] for k in KINDS[:4]], F.sha2(told(KINDS[:4]), 256).alias("base_sha256"), told(KINDS).alias("spans"), *[n[k] for k in KINDS[4:]])
 
 
 def base_digest(text: str) -> str:
