@@ -10,12 +10,13 @@ The words of a source stay, and no document passes ``most_copies``.
 The pairing is a reduction tree: ``FAN_IN`` documents of a source meet in one task, what is left (one
 document at most) meets the others' on the next level, and so on until a source has one, which the
 coin rounds. A hot source is thus many small groups on every level. Groups, their order and the coins
-come from hashes of source, id and size alone, so reruns agree on any number of machines.
+come from hashes of source, id and text alone, so reruns agree on any number of machines.
 
 Defined cases: a null text has size 0; size 0 takes 0; a null source is a source, ordered last; a
-null id is an id; rows that agree in source, id and size are rounded together, as one of all their
-words, and so get the same copies; an empty table gives an empty table; further columns are kept out
-of the tree and come back with ``mixed``; texts of any length are counted whole.
+null id is an id, and rows are told apart by source, id and text, so that rows with a null id are rounded one by one. Rows that agree in
+all three are one unit of the tree with as many words as they have together, and a unit is rounded to a whole number of its
+rows' copies, which go to its rows in no order that shows (they are equal): only the last of them is left to the tree. An empty table gives an empty table; further columns
+are kept out of the tree and come back with ``mixed``; texts of any length are counted whole.
 """
 
 from __future__ import annotations
@@ -107,39 +108,66 @@ def round_copies(rows: DataFrame, most_rows: int, scratch: Scratch) -> DataFrame
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
-    size = words(F.col(text_col))
-    return [size.alias("size"), F.xxhash64(F.lit(SEED), F.col(source_col), F.col(id_col), size).alias("key")]
+    return [words(F.col(text_col)).alias("size"), F.xxhash64(F.lit(SEED), F.col(source_col), F.col(id_col), F.col(text_col)).alias("key")]
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most_copies: int = MOST_COPIES) -> DataFrame:
-    """(doc_id, source, key, size, source_size, target, copies) for every row.
+def _placed(rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Rows that repeat a key with their ``place`` among its rows: by task first, then the tasks' counts added up, so that no task holds a key's rows."""
+    kept = scratch.keep(rows.withColumn("_task", F.spark_partition_id()), name)
+    here = kept.withColumn("_here", F.row_number().over(W.partitionBy("key", "_task").orderBy(F.lit(1))))
+    before = F.coalesce(F.sum("count").over(W.partitionBy("key").orderBy("_task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = kept.groupBy("key", "_task").count().select("key", "_task", before.alias("_before"))
+    return here.join(counts, ["key", "_task"]).withColumn("place", F.col("_before") + F.col("_here")).drop("_task", "_here", "_before")
+
+
+def _solved(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple, share: float, most_copies: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sized rows, the sources' rates, and per key (``of_key``, n rows, ``extra`` of them that get one more copy than the whole part).
 
+    A key's n rows of fraction p have n * p more copies between them: the whole part for sure, what is left through the tree.
     Texts are read once, for their sizes; all that follows reads a table of ids, sources and sizes.
     """
-    scratch = Scratch(df.sparkSession, "mixing")
     sized = scratch.keep(df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), *_keyed(df, id_col, text_col, source_col)), "sized")
-    units = sized.where("size > 0").groupBy("source", "key", "size").agg((F.col("size") * F.count(F.lit(1))).alias("unit"))
     totals = scratch.keep(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), "totals")
     goals = scratch.keep(targets(totals, weights, share, most_copies), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.least(F.floor(rate + 1e-12), F.lit(int(most_copies)))
     part = F.when(rate - whole > 1e-12, rate - whole).otherwise(F.lit(0.0))
     rates = goals.select(F.col("source").alias("of"), "source_size", "target", whole.alias("whole"), part.alias("p"))
-    open_ = units.join(rates.where("p > 0"), F.col("source").eqNullSafe(F.col("of"))).select("source", "key", F.col("unit").alias("size"), "p")
-    up = round_copies(open_, totals.agg(F.max("n")).first()[0] or 0, scratch)
-    out = sized.join(rates, F.col("source").eqNullSafe(F.col("of")))
+    units = sized.where("size > 0").groupBy("source", "key", "size").agg(F.count(F.lit(1)).alias("n")).join(rates, F.col("source").eqNullSafe(F.col("of")))
+    sure = F.floor(F.col("n") * F.col("p") + 1e-9)
+    units = scratch.keep(units.select("source", "key", "size", "n", sure.alias("sure"), F.greatest(F.col("n") * F.col("p") - sure, F.lit(0.0)).alias("p")), "units")
+    up = round_copies(units.where("p > 1e-9").select("source", "key", "size", "p"), totals.agg(F.max("n")).first()[0] or 0, scratch)
     up = up.groupBy(F.col("key").alias("up_key")).agg(F.lit(1).alias("up"))
-    out = out.join(up, F.col("key") == F.col("up_key"), "left")
-    copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("up", F.lit(0))).otherwise(F.lit(0)).cast("int")
-    return out.select("doc_id", "source", "key", "size", "source_size", "target", copies.alias("copies"))
+    extra = units.join(up, F.col("key") == F.col("up_key"), "left").select(F.col("key").alias("of_key"), "n", (F.col("sure") + F.coalesce("up", F.lit(0))).alias("extra"))
+    return sized, rates, scratch.keep(extra, "extra")
+
+
+def _with_copies(rows: DataFrame, extra: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows (key, whole, ...) with ``copies``; rows whose key isn't in ``extra`` have no words and none."""
+    joined = rows.join(extra, F.col("key") == F.col("of_key"), "left")
+    out = joined.where("n IS NULL OR n = 1").withColumn("copies", F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.col("whole") + F.col("extra")).cast("int"))
+    if not extra.where("n > 1").isEmpty():
+        many = _placed(joined.where("n > 1"), scratch, "repeated")
+        out = out.unionByName(many.withColumn("copies", (F.col("whole") + F.when(F.col("place") <= F.col("extra"), 1).otherwise(0)).cast("int")).drop("place"))
+    return out.drop("of_key", "n", "extra")
 
 
-def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most_copies: int = MOST_COPIES) -> DataFrame:
+    """(doc_id, source, key, size, source_size, target, copies) for every row."""
+    scratch = Scratch(df.sparkSession, "mixing")
+    sized, rates, extra = _solved(df, id_col, text_col, source_col, weights, share, most_copies, scratch)
+    out = _with_copies(sized.join(rates, F.col("source").eqNullSafe(F.col("of"))), extra, scratch)
+    return out.select("doc_id", "source", "key", "size", "source_size", "target", "copies")
+
+
+def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most_copies: int = MOST_COPIES) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it, with ``df``'s columns."""
-    copies = mix(df, id_col, text_col, source_col, **how).where("copies > 0").groupBy(F.col("key").alias("_key")).agg(F.max("copies").alias("_copies"))
+    scratch = Scratch(df.sparkSession, "mixing")
+    _, rates, extra = _solved(df, id_col, text_col, source_col, weights, share, most_copies, scratch)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
-    keyed = df.select(row, _keyed(df, id_col, text_col, source_col)[1].alias("_k"))
-    many = keyed.join(copies, F.col("_k") == F.col("_key")).select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_i"))
+    keyed = df.select(row, _keyed(df, id_col, text_col, source_col)[1], F.col(source_col).alias("source"))
+    keyed = keyed.join(rates.select("of", "whole"), F.col("source").eqNullSafe(F.col("of"))).select("_row", "key", "whole")
+    many = _with_copies(keyed, extra, scratch).where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_i"))
     return many.select(*[F.col("_row")[c].alias(c) for c in df.columns])
 
 
