@@ -1,15 +1,15 @@
 """Exact removal of repeated byte strings of 100 bytes across a corpus.
 
-What is named for this job, the column-wise construction of a collection's Burrows-Wheeler
-transform and common prefixes (one symbol per document each round), makes as many passes over its
-sequential files as the longest document has bytes: over 120,000 here. It isn't used on that account
-(see the README); the same result, every byte that a string with an earlier start covers, is got from anchors:
+Equal strings are found by the column-wise construction of a collection's Burrows-Wheeler transform and
+common prefixes (``columns``: one symbol of each text per round). It makes as many passes over a collection as its longest text has bytes, so it
+isn't given whole documents but the places where a repeat can be, dealt to blocks that fit in memory:
 
 * The anchor of a 100-byte string is its 32-byte substring of least hash (leftmost). Equal strings have equal
   anchors at equal places, and neighbouring strings share anchors: about one in 35 bytes is one.
 * Anchors are dealt by hash. Those found once, or only in exact copies of one text, are done.
-* Where an anchor recurs, the bytes around it that its strings can reach (168 at most) are compared: strings of
-  one anchor that start at one distance before it are equal or not, and all but the first are repeats.
+* Where an anchor recurs, the bytes around it that its strings can reach (168 at most) are a text of a collection; equal ones but the first are
+  repeats whole. The different ones of about ``BLOCK`` bytes, whole anchors at a time, are one collection: its suffixes that
+  have 100 bytes or more in common with their neighbours are equal strings, and all but the first in order of the corpus are repeats.
 * Anchors that recur ``CROWDED`` times or more are dealt again by whole string, as a plain sort by string.
 
 Exact copies of an earlier text are removed whole without looking inside.
@@ -27,14 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from graniteloom.llm.common import Scratch, documents
+from graniteloom.llm.columns import construct
+from graniteloom.llm.common import Scratch, documents, release
 from graniteloom.llm.shingles import U, _tables, mix
 
 LENGTH, ANCHOR = 100, 32
 CROWDED = 20_000
-CHUNK, HELD = 1_500_000, 1_500_000
+CHUNK, HELD = 400_000, 400_000
+#: Bytes of a collection (about) that equal strings are looked for in.
+BLOCK = 300_000
 #: Places whose hashes are compared at once: each is packed with its hash, in ``PLACE_BITS``, so a block has no more.
 PLACE_BITS = 24
 PLACES = 1 << PLACE_BITS
@@ -83,12 +87,14 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of batches with about ``CHUNK`` bytes of text."""
     for batch in batches:
-        texts, a, size = [(t or "").encode() for t in batch.column(batch.schema.get_field_index(column)).to_pylist()], 0, 0
-        for b, t in enumerate(texts, 1):
-            size += len(t)
-            if size >= CHUNK or b == len(texts):
-                yield batch.slice(a, b - a), texts[a:b]
+        texts, a, size = batch.column(batch.schema.get_field_index(column)).cast(pa.binary()), 0, 0
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for b, n in enumerate(lengths, 1):
+            size += n
+            if size >= CHUNK or b == len(lengths):
+                yield batch.slice(a, b - a), [t or b"" for t in texts.slice(a, b - a).to_pylist()]
                 a, size = b, 0
 
 
@@ -106,8 +112,9 @@ def _send(buckets: int):
         order = np.argsort(bucket, kind="stable")
         r, bucket = r[order], bucket[order]
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-        for first in range(0, buckets, 64):
-            ks = [k for k in range(first, min(first + 64, buckets)) if cuts[k] < cuts[k + 1]]
+        full = np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()
+        for first in range(0, len(full), 64):
+            ks = full[first : first + 64]
             yield pa.RecordBatch.from_arrays([pa.array(ks, type=pa.int64()), pa.array([pack(r[cuts[k] : cuts[k + 1]]) for k in ks], type=pa.binary())], names=["bucket", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,6 +131,8 @@ def _send(buckets: int):
                 rows, held = [], 0
         if held:
             yield from send(rows)
+        rows = []
+        release()
 
     return run
 
@@ -151,13 +160,10 @@ def unpack(b: bytes) -> np.ndarray:
 
 
 def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors that recur at another place or in another text; of exact copies, the first document's."""
-    held: dict[int, list[bytes]] = {}
-    for batch in batches:
-        for k, b in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            held.setdefault(k, []).append(b.as_py())
-    for k in sorted(held):
-        r = np.concatenate([unpack(b) for b in held.pop(k)])
+    """Of rows sorted by bucket, anchors that recur at another place or in another text; of exact copies, the first document's."""
+
+    def close(held: list[bytes]) -> Iterator[pa.RecordBatch]:
+        r = np.concatenate([unpack(b) for b in held])
         r = r[np.lexsort((r["doc"], r["at"], r["th"], r["h"]))]
         new = np.ones(len(r), dtype=bool)
         new[1:] = (r["h"][1:] != r["h"][:-1]) | (r["th"][1:] != r["th"][:-1]) | (r["at"][1:] != r["at"][:-1])
@@ -171,6 +177,19 @@ def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cols = [x["doc"], x["th"], x["h"].view(np.int64), x["at"].astype(np.int32), x["first"].astype(np.int32), x["last"].astype(np.int32), n >= CROWDED]
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=["doc_id", "th", "h", "at", "first", "last", "crowded"])
 
+    bucket, held = None, []
+    for batch in batches:
+        for k, b in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if k != bucket and held:
+                yield from close(held)
+                held = []
+            bucket = k
+            held.append(b.as_py())
+    if held:
+        yield from close(held)
+    held = []
+    release()
+
 
 _CONTEXT = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("crowded", pa.bool_()), ("around", pa.binary())])
 
@@ -193,46 +212,53 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SPAN = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of repeats, of contexts sorted by (h, doc_id, th, at): a string is known by what it is and its distance to the anchor.
+def _repeated(contexts: list[tuple]) -> list[tuple[int, int, int, int]]:
+    """Spans (doc_id, th, start, end) of repeats among different contexts (doc_id, th, at, first, around), those of one anchor in order of the corpus."""
+    suffix, common = construct([c[4] for c in contexts])
+    edge = np.flatnonzero(common < LENGTH)
+    leader = np.repeat(np.minimum.reduceat(suffix, edge), np.diff(np.concatenate([edge, [len(suffix)]])))
+    again = np.sort(suffix[suffix != leader])
+    if not len(again):
+        return []
+    new = np.flatnonzero(np.concatenate([[True], np.diff(again) != 1]))
+    out = []
+    for a, b in zip(again[new].tolist(), again[np.concatenate([new[1:], [len(again)]]) - 1].tolist(), strict=True):
+        doc, th, at, first, _ = contexts[a >> 8]
+        out.append((doc, th, at - first + (a & 255), at - first + (b & 255) + LENGTH))
+    return out
 
-    What has been met of one anchor is kept: whole contexts, and their strings once two contexts differ.
-    """
-    anchor, before, whole, strings, first_seen = None, None, set(), None, None
 
-    def cut(first: int, last: int, around: bytes) -> list[tuple[int, bytes]]:
-        return [(o, around[first - o : first - o + LENGTH]) for o in range(first, last - 1, -1)]
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of repeats, of contexts sorted by (h, doc_id, th, at)."""
+    anchor, before, whole, mine, block, size = None, None, set(), [], [], 0
+
+    def table(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 4, _SPAN, strict=True)], schema=_SPAN)
 
     for batch in batches:
         out: list[tuple[int, int, int, int]] = []
         cols = [batch.column(i).to_pylist() for i in range(6)] + [batch.column(7).to_pylist()]
         for h, doc, th, at, first, last, around in zip(*cols, strict=True):
             if h != anchor:
-                anchor, before, whole, strings, first_seen = h, None, set(), None, None
+                if len(mine) > 1:
+                    block += mine
+                    size += sum(len(c[4]) for c in mine)
+                    if size >= BLOCK:
+                        out += _repeated(block)
+                        block, size = [], 0
+                anchor, before, whole, mine = h, None, set(), []
             if (doc, th, at) == before:
                 continue
             before = (doc, th, at)
             if (first, last, around) in whole:
                 out.append((doc, th, at - first, at - last + LENGTH))
-                continue
-            whole.add((first, last, around))
-            if first_seen is None:
-                first_seen = (first, last, around)
-                continue
-            if strings is None:
-                strings = set(cut(*first_seen))
-            start = None
-            for o, s in cut(first, last, around):
-                if (o, s) in strings:
-                    start = o if start is None else start
-                    if o == last:
-                        out.append((doc, th, at - start, at - o + LENGTH))
-                else:
-                    strings.add((o, s))
-                    if start is not None:
-                        out.append((doc, th, at - start, at - (o + 1) + LENGTH))
-                        start = None
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 4, _SPAN, strict=True)], schema=_SPAN)
+            else:
+                whole.add((first, last, around))
+                mine.append((doc, th, at, first, around))
+        yield table(out)
+    yield table(_repeated(block + (mine if len(mine) > 1 else [])))
+    whole, mine, block = set(), [], []
+    release()
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,8 +314,8 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     with_id = docs.where("doc_id IS NOT NULL")
-    packed = with_id.select("doc_id", "th", "text").mapInArrow(_send(4 * n_parts), "bucket bigint, packed binary")
-    found = packed.repartition(n_parts, "bucket").mapInArrow(_recurring, "doc_id bigint, th bigint, h bigint, at int, first int, last int, crowded boolean")
+    packed = with_id.select("doc_id", "th", "text").mapInArrow(_send(16 * n_parts), "bucket bigint, packed binary")
+    found = packed.repartition(n_parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_recurring, "doc_id bigint, th bigint, h bigint, at int, first int, last int, crowded boolean")
     found = scratch.keep(found, "anchors")
     lists = found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "at", "first", "last", "crowded")).alias("found"))  # as long as the text
     reached = scratch.keep(with_id.join(lists, ["doc_id", "th"]).select("doc_id", "th", "text", "found"), "texts")

@@ -9,7 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from graniteloom.llm import jaccard, mixing, packing, repeats, search
+from graniteloom.llm import columns, jaccard, mixing, packing, repeats, search
 from graniteloom.llm.common import Scratch
 from graniteloom.llm.components import components
 from graniteloom.llm.shingles import set_numbers, shingle_sets
@@ -158,6 +158,19 @@ def repeat_corpus():
     return [(i, t, "s") for i, t in enumerate(rows)]
 
 
+def test_columns():
+    """The construction gives all suffixes in order, with their common prefixes."""
+    r = random.Random(6)
+    for n in (0, 1, 2, 7, 40):
+        texts = [bytes(r.choice(b"ab\xf4\x00") for _ in range(r.choice([0, 1, 3, 30, 168]))) for _ in range(n)]
+        texts += texts[:2]
+        want = sorted((t[k:], i, k) for i, t in enumerate(texts) for k in range(len(t) + 1))
+        suffix, common = columns.construct(texts)
+        assert [(i, k) for _, i, k in want] == [(x >> 8, x & 255) for x in suffix.tolist()]
+        length = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: E731, B905
+        assert common.tolist() == [0] * min(len(want), 1) + [length(a[0], b[0]) for a, b in zip(want, want[1:])]  # noqa: B905
+
+
 @pytest.mark.parametrize("crowded", [20_000, 3])
 def test_repeats(spark, monkeypatch, crowded):
     monkeypatch.setattr(repeats, "CROWDED", crowded)
