@@ -8,7 +8,7 @@ isn't given whole documents but the places where a repeat can be, dealt to block
   anchors at equal places, and neighbouring strings share anchors: about one in 35 bytes is one.
 * Anchors are dealt by hash. Those found once, or only in exact copies of one text, are done.
 * Where an anchor recurs, the bytes around it that its strings can reach (168 at most) are a text of a collection; equal ones but the first are
-  repeats whole. The different ones of about ``BLOCK`` bytes, whole anchors at a time, are one collection: its suffixes that
+  repeats whole. The others are cut to what another shares, and the different ones of about ``BLOCK`` bytes, whole anchors at a time, are one collection: its suffixes that
   have 100 bytes or more in common with their neighbours are equal strings, and all but the first in order of the corpus are repeats.
 * Anchors that recur ``CROWDED`` times or more are dealt again by whole string, as a plain sort by string.
 
@@ -228,6 +228,28 @@ def _repeated(contexts: list[tuple]) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def _alike(parts: list[bytes]) -> list[int]:
+    """How many leading bytes of each string some other of the list shares, at most: in order, a neighbour shares the most."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out, last = [0] * len(parts), 0
+    for k, i in enumerate(order):
+        following = 0
+        if k + 1 < len(order):
+            a, b = parts[i], parts[order[k + 1]]
+            n = min(len(a), len(b))
+            x = int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])
+            following = n - (x.bit_length() + 7) // 8
+        out[i], last = max(last, following), following
+    return out
+
+
+def _shared(contexts: list[tuple]) -> list[tuple]:
+    """Different contexts of one anchor, cut to what some other shares to the left and right of the anchor; no repeat lies outside."""
+    right = _alike([c[4][c[3] :] for c in contexts])
+    left = _alike([c[4][: c[3]][::-1] for c in contexts])
+    return [(d, th, at, k, c[f - k : f + n]) for (d, th, at, f, c), k, n in zip(contexts, left, right, strict=True) if k + n >= LENGTH]
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of repeats, of contexts sorted by (h, doc_id, th, at)."""
     anchor, before, whole, mine, block, size = None, None, set(), [], [], 0
@@ -235,17 +257,30 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def table(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 4, _SPAN, strict=True)], schema=_SPAN)
 
+    def close(out: list[tuple]) -> None:
+        """Of the anchor's contexts, what is shared: copies of an earlier one are repeats, the others join the block."""
+        nonlocal size
+        seen, rest = set(), []
+        for doc, th, at, first, around in _shared(mine) if len(mine) > 1 else []:
+            if (first, around) in seen:
+                out.append((doc, th, at - first, at - first + len(around)))
+            else:
+                seen.add((first, around))
+                rest.append((doc, th, at, first, around))
+        if len(rest) > 1:
+            block.extend(rest)
+            size += sum(len(c[4]) for c in rest)
+        if size >= BLOCK:
+            out += _repeated(block)
+            block.clear()
+            size = 0
+
     for batch in batches:
         out: list[tuple[int, int, int, int]] = []
         cols = [batch.column(i).to_pylist() for i in range(6)] + [batch.column(7).to_pylist()]
         for h, doc, th, at, first, last, around in zip(*cols, strict=True):
             if h != anchor:
-                if len(mine) > 1:
-                    block += mine
-                    size += sum(len(c[4]) for c in mine)
-                    if size >= BLOCK:
-                        out += _repeated(block)
-                        block, size = [], 0
+                close(out)
                 anchor, before, whole, mine = h, None, set(), []
             if (doc, th, at) == before:
                 continue
@@ -256,8 +291,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 whole.add((first, last, around))
                 mine.append((doc, th, at, first, around))
         yield table(out)
-    yield table(_repeated(block + (mine if len(mine) > 1 else [])))
-    whole, mine, block = set(), [], []
+    out = []
+    close(out)
+    yield table(out + _repeated(block))
+    whole, mine = set(), []
+    block.clear()
     release()
 
 
