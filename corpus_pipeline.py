@@ -21,7 +21,10 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity machine doesn't reject; it learns from the labelled rows that aren't held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
     model = toxicity.fit(*toxicity.training_rows(docs, labels, "doc_id", "text", "toxic"))
-    return toxicity.score(docs, model).where(F.col("score") < REJECT).select(docs.columns)
+    free = "score"
+    while free in docs.columns:
+        free += "_"
+    return toxicity.score(docs, model, into=free).where(F.col(free) < REJECT).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
