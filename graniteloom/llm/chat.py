@@ -24,12 +24,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from graniteloom.llm.common import let
+from graniteloom.llm.common import cut, let, pieces, running_totals
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: After which a backslash is put: a backslash, or the first character of a control string.
 CONTROL = r"\\|<(?=\|[A-Za-z_]*\|>|/?s>|</?SYS>>)|\[(?=/?INST\])"
 BUCKET, SEQ_BUCKET = 64, 1024
+#: Characters of an event of a message that is streamed.
+STREAMED = 256
 
 
 def escape(text: Column) -> Column:
@@ -88,13 +90,10 @@ def render(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     )
     whole = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "s", "spans"))).alias("ps"))
     whole = whole.select("conv_id", F.array_join(F.transform("ps", lambda p: p["s"]), "").alias("formatted"), F.flatten(F.transform("ps", lambda p: p["spans"])).alias("spans"))
-    at = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out"))
-    mask = F.aggregate(
-        "spans", at,
-        lambda st, x: F.struct((st["at"] + x["n"]).alias("at"), F.when(x["learns"], F.concat(st["out"], F.array(F.struct((st["at"] + x["h"]).alias("start"), (st["at"] + x["h"] + x["b"]).alias("end"))))).otherwise(st["out"]).alias("out")),
-        lambda st: st["out"],
-    )
-    return whole.select("conv_id", "formatted", mask.alias("loss_mask"))
+    starts = running_totals(F.transform("spans", lambda x: x["n"]))
+    placed = lambda at: F.transform("spans", lambda x, i: F.struct((F.get(at, i) + x["h"]).alias("start"), (F.get(at, i) + x["h"] + x["b"]).alias("end"), x["learns"].alias("learns")))
+    learnt = F.filter(let(starts, placed), lambda m: m["learns"])
+    return whole.select("conv_id", "formatted", F.transform(learnt, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))).alias("loss_mask"))
 
 
 def parse(formatted: Column) -> Column:
@@ -111,21 +110,31 @@ def parse(formatted: Column) -> Column:
 
 def masked_text(formatted: Column, mask: Column) -> Column:
     """The unescaped text under a loss mask, nothing between its ranges."""
-    return F.array_join(F.transform(mask, lambda m: unescape(F.substring(formatted, (m["start"] + 1).cast("int"), (m["end"] - m["start"]).cast("int")))), "")
+    return let(pieces(formatted), lambda ps: F.array_join(F.transform(mask, lambda m: unescape(cut(ps, m["start"], m["end"]))), ""))
 
 
-def messages(rows: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text), each a whole message, through the fold of events."""
+def event_log(rows: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, role, text), each a whole message, as the events that stream them: a ``message`` event with the first piece, then ``delta`` events.
+
+    The turn is paired with a number of the row, so that rows that tie in a turn stay messages of their own.
+    """
     tied = F.struct(F.col("turn"), F.monotonically_increasing_id().alias("tie"))
-    events = rows.select("conv_id", tied.alias("turn"), F.lit(0).alias("seq"), F.lit("message").alias("event"), "role", "text")
-    return fold_events(events).select("conv_id", "turn.turn", "role", "text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    streamed = F.when(F.length(text) > 0, pieces(text, STREAMED)).otherwise(F.array(F.lit("")))
+    told = rows.select("conv_id", tied.alias("turn"), "role", "text")  # numbered before rows are streamed
+    events = told.select("conv_id", "turn", "role", F.posexplode(streamed).alias("seq", "text"))
+    return events.select("conv_id", "turn", "seq", F.when(F.col("seq") == 0, "message").otherwise("delta").alias("event"), F.when(F.col("seq") == 0, F.col("role")).alias("role"), "text")
+
+
+def messages(rows: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, role, text) through their event log and its fold."""
+    return fold_events(event_log(rows)).select("conv_id", "turn.turn", "role", "text")
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, rendered and read back.
 
-    Each row of the table is one ``message`` event; rows that tie in a turn are told apart by a number,
-    so that the fold leaves them turns of their own.
+    Each row of the table is streamed as events of up to ``STREAMED`` characters, which the fold puts together again.
     """
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     planted = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.explode(F.array(F.struct(F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).cast("long").alias("turn"), F.lit("assistant").alias("role")))).alias("m"))
