@@ -52,6 +52,18 @@ def running_totals(lengths: Column, block: int = 256) -> Column:
     return let(lengths, totals)
 
 
+def pieces(text: Column, size: int = 1024) -> Column:
+    """A text in pieces of so many code points, for ``cut``; an empty text has none."""
+    return F.regexp_extract_all(text, F.lit("(?s)(.{1,%d})" % size), F.lit(1))
+
+
+def cut(parts: Column, start: Column, end: Column, size: int = 1024) -> Column:
+    """The text from ``start`` to ``end`` out of its ``pieces``, without walking through what stands before."""
+    first = F.floor(start / size).cast("int")
+    n = F.when(end > start, F.floor((end - 1) / size).cast("int") - first + 1).otherwise(0)
+    return F.substring(F.array_join(F.slice(parts, first + 1, n), ""), (start - first * size + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int"))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python in batches of at most so many rows, as rows here are long."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -77,10 +89,12 @@ def release() -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as spark.checkpoint.dir names it.
 
-    Only where the setting is absent (tests, a single machine) a temporary folder is made.
+    Only where the setting is absent on a single machine (tests) a temporary folder is made; a cluster must name one.
     """
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if path is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="graniteloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path

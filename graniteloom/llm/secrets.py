@@ -6,7 +6,7 @@ Main path: DataFrame functions only. The base kinds are read by pattern (``assig
 that are kept up as the window slides (one symbol in, one out). A candidate is judged by its
 character class: hexadecimal strings need 3.0 bits in some window, other strings that mix digits with
 letters 3.7 bits; strings of digits alone, or without a digit, are no candidates. An allow-list
-suppresses what is known to be harmless. A candidate inside a base span is not told twice.
+suppresses what is known to be harmless: whole candidates, and parts of them, beside which the rest is judged alone. A candidate inside a base span is not told twice.
 
 Places are code points, end exclusive. Defined cases: a null text is empty; one result row per
 input row, whatever its id; an empty table gives an empty table; further columns are ignored;
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from graniteloom.llm.common import documents, let, running_totals
+from graniteloom.llm.common import cut, documents, let, pieces, running_totals
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -27,14 +27,14 @@ WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Bits that some window needs, by character class.
 LEAST_BITS = {"hex": 3.0, "mixed": 3.7}
-#: Candidates that are known to be harmless: UUIDs, alphabets in order, placeholders, rules of dashes or equal signs, dates and paths.
+#: Candidates that are known to be harmless: UUIDs, rules of dashes or equal signs, paths of words.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)abcdefghij|0123456789|example|placeholder|changeme|xxxxxxxx",
     r"^[-=_+/]+$",
     r"^/?(?:[A-Za-z_-]+/)+[A-Za-z0-9_-]*$",
-    r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
 )
+#: Parts of candidates that are known to be harmless: alphabets in order, placeholders, dates. What stands beside them is judged alone.
+ALLOWED_PARTS = r"(?i)(?:abcdefghijklmnopqrstuvwxyz|abcdefghij|0123456789|example|placeholder|changeme|x{8,})|(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])"
 
 SPAN = "array<struct<start:bigint,end:bigint,kind:string,rank:int>>"
 
@@ -89,9 +89,13 @@ def _is_secret(s: Column) -> Column:
     allowed = F.lit(False)
     for p in ALLOWED:
         allowed = allowed | s.rlike(p)
-    hexadecimal = s.rlike(r"^[0-9a-fA-F]+$")
-    least = F.when(hexadecimal, F.lit(LEAST_BITS["hex"])).otherwise(F.lit(LEAST_BITS["mixed"]))
-    return F.when(~(s.rlike("[0-9]") & s.rlike("[A-Za-z]")) | allowed, F.lit(False)).otherwise(window_bits(s) >= least)
+
+    def judged(part: Column) -> Column:
+        least = F.when(part.rlike(r"^[0-9a-fA-F]+$"), F.lit(LEAST_BITS["hex"])).otherwise(F.lit(LEAST_BITS["mixed"]))
+        mixed = part.rlike("[0-9]") & part.rlike("[A-Za-z]") & (F.length(part) >= WINDOW)
+        return F.when(mixed, window_bits(part) >= least).otherwise(F.lit(False))
+
+    return F.when(allowed, F.lit(False)).otherwise(F.exists(F.split(s, ALLOWED_PARTS, -1), judged))
 
 
 def scan(df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -128,10 +132,11 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = "<SECRET>") -> Dat
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(st: Column, s: Column) -> Column:
-        gap = F.substring(F.col("_text"), (st["at"] + 1).cast("int"), (s["start"] - st["at"]).cast("int"))
+        gap = cut(F.col("_pieces"), st["at"], s["start"])
         return F.struct(F.greatest(st["at"], s["end"]).alias("at"), F.when(s["start"] >= st["at"], F.concat(st["out"], F.array(gap, F.lit(mark)))).otherwise(st["out"]).alias("out"))
 
-    clean = F.aggregate(spans, begin, step, lambda st: F.concat(F.array_join(st["out"], ""), F.substring(F.col("_text"), (st["at"] + 1).cast("int"), F.length(F.col("_text")))))
+    found = found.withColumn("_pieces", F.when(F.size("base") + F.size("added") > 0, pieces(F.col("_text"))))
+    clean = F.aggregate(spans, begin, step, lambda st: F.concat(F.array_join(st["out"], ""), cut(F.col("_pieces"), st["at"], F.length(F.col("_text")).cast("long"))))
     new = F.when(F.size("base") + F.size("added") > 0, clean).otherwise(F.col("_row")[text_col])
     return found.select(*[new.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in df.columns])
 
