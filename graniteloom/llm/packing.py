@@ -5,7 +5,9 @@ set if some open bin has f tokens free. A piece goes to the open bin with the le
 holds it (the lowest set bit at or above its length); if none does, a new bin is opened, and if all
 are open already, the fullest closes first. Bins that are full close at once. What a task has open at its end is
 not a sequence yet: those bins are packed again as pieces by a second, smaller pass, which merges
-bins of different tasks; each pass has a ``MERGE``-th of the tasks of the one before.
+bins of different tasks. A pass has a task for every ``MERGE`` bins; passes end when one task has them all, or when
+a pass merges few, as bins that are each more than half full stay as they are on any number of tasks. Bins
+with less than a 64th of their length free are left alone.
 
 A document's ids are those that the tokenizer file gives (no special tokens added), then id 0.
 Only documents longer than a sequence are cut, into full pieces; the first may be shorter.
@@ -35,7 +37,8 @@ from graniteloom.llm.common import Scratch, documents
 LENGTH = 2048
 OPEN_BINS = 256
 END_ID = 0
-MERGE = 64
+#: Bins that one task of a merging pass packs (about), and the share that a pass must leave at most for another to follow.
+MERGE, SHRINK = 20_000, 0.8
 #: The split of byte-level BPE into words. A fixed value.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LONG_RUN = re.compile(r"\S{4000}|\s{4000}")
@@ -185,10 +188,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     pieces = scratch.keep(rows.mapInArrow(_pack_partition(length, open_bins, tokenizer, with_ids), PIECES), "pieces")
     # Only bins with room for something are packed again: a row per open or early closed bin, at most a few hundred a task and those the bound forced shut.
     open_ = pieces.groupBy("bin").agg(F.sum("length").alias("size")).where(F.col("size") < length - length // 64)
-    n = pieces.rdd.getNumPartitions()
-    moved, level = None, 0
+    left, moved, level = open_.count(), None, 0
     while True:
-        n = max(1, n // MERGE)
+        n = max(1, -(-left // MERGE))
         packed = scratch.keep(open_.repartition(n, "bin").sortWithinPartitions(F.desc("size"), "bin").mapInArrow(_merge_bins(length, open_bins), BINS), f"merge-{level}")
         step = packed.select("bin", "into", "at")
         if moved is None:
@@ -196,9 +198,10 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
         else:
             later = step.select(F.col("bin").alias("_b"), F.col("into").alias("_into"), F.col("at").alias("_at"))
             moved = moved.join(later, F.col("into") == F.col("_b"), "left").select("bin", F.coalesce("_into", "into").alias("into"), (F.col("at") + F.coalesce("_at", F.lit(0))).alias("at"))
-        if n == 1:
-            break
         open_ = packed.groupBy(F.col("into").alias("bin")).agg(F.sum("size").alias("size")).where(F.col("size") < length - length // 64)
+        before, left = left, open_.count()
+        if n == 1 or left > SHRINK * before:
+            break
         level += 1
     moved = moved.select(F.col("bin").alias("_bin"), "into", "at")
     out = pieces.join(moved, F.col("bin") == F.col("_bin"), "left")
