@@ -17,7 +17,8 @@ characters cost weight but leave subsequences in place, so that spaced or dotted
   that of its most toxic unit; a logistic curve, fitted on the training documents, gives the score.
 
 The model is fitted on the driver from a bounded sample: at most ``TRAIN_DOCUMENTS`` labelled documents
-(those of smallest hashed id) and no more than ``TRAIN_CHARACTERS`` characters of them. Every whole text is scored.
+(those of smallest hashed id) of at most ``TRAIN_LONGEST`` characters each, and no more than ``TRAIN_CHARACTERS`` characters of them. Of these, at most ``NEGATIVES`` distinct
+negative units are chosen from (by hash), three units tell a positive bag, 800 hard negatives are added a round, and ``CALIBRATION`` documents give the curve. Every whole text is scored.
 
 Defined cases: a null or empty text has no unit and the score of none; ids may be null or repeated (one result row per
 input row); with no labels of both kinds every score is the share of positives, or 0; ties in training go by the unit's text; an empty table gives an
@@ -42,9 +43,11 @@ from graniteloom.llm.common import documents, release, small_batches
 
 DECAY = 0.6
 LANDMARKS = 400
-LONGEST = 20
+LONGEST, STRIDE = 20, 5
 TRAIN_DOCUMENTS = 5000
 TRAIN_CHARACTERS = 16_000_000
+#: A labelled text of more characters isn't learnt from (it is scored like any other).
+TRAIN_LONGEST = 200_000
 #: Documents of the sample that the curve from margin to score is fitted on.
 CALIBRATION = 4000
 ROUNDS = 4
@@ -162,11 +165,11 @@ def units_of(sentence: str) -> list[str]:
 
 
 def windows(unit: str) -> list[str]:
-    """Overlapping windows of a long unit, else the unit."""
+    """Windows of a long unit, in which any run of ``LONGEST - STRIDE + 1`` characters lies whole, else the unit."""
     if len(unit) <= LONGEST:
         return [unit]
-    half = LONGEST // 2
-    return [unit[a : a + LONGEST] for a in range(0, len(unit) - half, half)]
+    last = len(unit) - LONGEST
+    return [unit[a : a + LONGEST] for a in (*range(0, last, STRIDE), last)]
 
 
 #: The margin of a text without units.
@@ -311,7 +314,7 @@ class Scorer:
             while b < len(texts) and (b == a or size < 1_000_000):
                 size += len(texts[b] or "")
                 b += 1
-            known, bags = self.known, [set(words_of(t)) if t else set() for t in texts[a:b]]
+            known, bags = self.known, [{w for s in _SENTENCE.split(t) for w in words_of(s)} if t else set() for t in texts[a:b]]
             fresh = self._look_up(list(set().union(*bags) - known.keys()))
             out += [max((fresh[w] if w in fresh else known[w] for w in bag), default=NONE) for bag in bags]
             if len(known) < self.most:
@@ -324,7 +327,8 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     """The bounded training sample; repeated ids count once by smallest text."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where("_id IS NOT NULL AND _y IN (0, 1)")
     known = known.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(most)
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id").where(F.coalesce(F.length("_text"), F.lit(0)) <= TRAIN_LONGEST)
+    rows = rows.groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
     got = rows.orderBy(F.xxhash64("_id"), "_id")
     size = F.sum(F.length(F.coalesce("_text", F.lit("")))).over(_first())
     got = got.withColumn("_sum", size).where(F.col("_sum") <= TRAIN_CHARACTERS).select("_text", "_y").collect()
@@ -337,10 +341,10 @@ def _first():
     return W.orderBy(F.xxhash64("_id"), "_id").rowsBetween(W.unboundedPreceding, 0)
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``df`` with a column ``score`` (in place of one of that name, if there is one); all other columns stay."""
-    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c != "score"])
-    fields = T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType())])
+def score(df: DataFrame, model: Model, text_col: str = "text", into: str = "score") -> DataFrame:
+    """``df`` with a column ``into`` (in place of one of that name, if there is one); all other columns stay."""
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c != into])
+    fields = T.StructType([*df.schema.fields, T.StructField(into, T.DoubleType())])
     held = df.sparkSession.sparkContext.broadcast(model)  # one table of a quarter of a million numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +354,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             got: list[float] = []
             for a in range(0, len(texts), 250):
                 got += [held.value.score(m) for m in scorer(texts.slice(a, 250).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, type=pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, type=pa.float64())], names=[*batch.schema.names, into])
         scorer.known.clear()
         release()
 
