@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from graniteloom.llm.columns import construct
 from graniteloom.llm.common import Scratch, documents, release
@@ -364,8 +364,11 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not found.where("crowded").isEmpty():
         hot = reached.select("doc_id", "th", "text", F.filter("found", lambda x: x["crowded"]).alias("found")).where(F.size("found") > 0)
         rows = hot.mapInArrow(_contexts, context).mapInArrow(_strings, "key binary, doc_id bigint, th bigint, start bigint").distinct()
-        rank = F.row_number().over(W.partitionBy("key").orderBy("doc_id", "th", "start"))
-        again = rows.withColumn("rank", rank).where(F.col("rank") > 1).select("doc_id", "th", "start", (F.col("start") + LENGTH).alias("end"))
+        rows = scratch.keep(rows, "strings")
+        place = F.struct("doc_id", "th", "start")
+        firsts = rows.groupBy("key").agg(F.min(place).alias("first")).select("key", "first.doc_id", "first.th", "first.start")
+        # Told apart by all four columns, so that a string met everywhere isn't one task's.
+        again = rows.join(firsts, ["key", "doc_id", "th", "start"], "left_anti").select("doc_id", "th", "start", (F.col("start") + LENGTH).alias("end"))
         spans = spans.unionByName(scratch.keep(again, "crowded"))
     per = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     out = "doc_id bigint, th bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text
