@@ -77,20 +77,29 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
 
 
-def postings(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """(doc, word, tf, length): one row per document and word, added up before any shuffle of whole texts."""
+#: Distinct words that are broadcast at most, counted before.
+BROADCAST_WORDS = 1_000_000
+
+
+def postings(docs: DataFrame, id_col: str, text: Column, only: DataFrame | None = None) -> DataFrame:
+    """(doc, word, tf, length): one row per document and word, added up before any shuffle of whole texts.
+
+    ``only`` (word) drops other words first, in the task that reads the text if these are few enough to broadcast.
+    """
     w = docs.select(F.col(id_col).alias("doc"), words(text).alias("ws"))
     w = w.select("doc", F.size("ws").alias("length"), F.explode("ws").alias("word"))
+    if only is not None:
+        w = w.join(F.broadcast(only) if only.count() <= BROADCAST_WORDS else only, "word", "left_semi")
     return w.groupBy("doc", "word").agg(F.count(F.lit(1)).alias("tf"), F.first("length").alias("length"))
 
 
 def bm25(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, query_text: Column, doc_text: Column, k1: float = 1.2, b: float = 0.75, least_percent: int = 0, boost: float = 1.0) -> DataFrame:
     """(query, doc, score, matched): BM25 over distinct query words; at least floor(percent * words) must match."""
-    post = postings(docs, doc_id, doc_text)
-    stats = docs.select(F.size(words(doc_text)).alias("n")).agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean"))
-    df = post.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     asked = queries.select(F.col(query_id).alias("query"), F.array_distinct(words(query_text)).alias("qs"))
     asked = asked.select("query", F.size("qs").alias("asked"), F.explode("qs").alias("word"))
+    post = postings(docs, doc_id, doc_text, asked.select("word").distinct())
+    stats = docs.select(F.size(words(doc_text)).alias("n")).agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean"))
+    df = post.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     hit = asked.join(df, "word").join(post, "word").join(F.broadcast(stats))  # one row of statistics
     idf = F.log1p((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))

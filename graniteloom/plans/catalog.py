@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from graniteloom.functions import classify, registries, review, text as T, tokens, urls
-from graniteloom.operators import retrieval, search, seeds, stages
+from graniteloom.operators import hybrid, retrieval, search, seeds, stages
 from graniteloom.operators.store import stale, upsert
 from graniteloom.plans.registry import register
 from graniteloom.session import table
@@ -173,6 +173,27 @@ def hybrid_fuse_rank(spark, sf):
     return retrieval.fuse(rule, knn, 15).select("source_id", "chunk_id", "source_count", F.round("fused", 4).alias("fused"), F.col("rank").cast("int").alias("rank"))
 
 
+@register("hybrid_by_repo", f"""{_HITS_SQL},
+m AS (SELECT source_id, chunk_id, round(sum((0.7 + 0.3 / (rank + 1)) * priority / 100.0), 9) AS score FROM hits WHERE source_id IN (SELECT chunk_id FROM chunk WHERE repo_id = 'github:src0/corpus') GROUP BY 1, 2),
+a AS (SELECT source_id, chunk_id, score FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY score DESC, chunk_id) AS place FROM m) WHERE place <= 20),
+v AS (SELECT c.chunk_id, c.repo_id, c.language, e.embedding FROM chunk c LEFT JOIN embeddings e ON c.chunk_id = CAST(e.vec_id AS VARCHAR)),
+p2 AS (SELECT x.chunk_id AS source_id, y.chunk_id, round(list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])), 6) AS score
+       FROM v x JOIN v y ON x.language = y.language AND x.repo_id <> y.repo_id WHERE x.repo_id = 'github:src0/corpus' AND x.embedding IS NOT NULL AND y.embedding IS NOT NULL),
+b AS (SELECT source_id, chunk_id, score FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY score DESC, chunk_id) AS place FROM p2) WHERE place <= 50),
+sa AS (SELECT source_id, chunk_id, round({_SCALE_SQL}, 6) AS rs FROM a WINDOW g AS (PARTITION BY source_id)), sb AS (SELECT source_id, chunk_id, round({_SCALE_SQL}, 6) AS ks FROM b WINDOW g AS (PARTITION BY source_id)),
+f AS (SELECT coalesce(sa.source_id, sb.source_id) AS source_id, coalesce(sa.chunk_id, sb.chunk_id) AS chunk_id, rs, ks, CAST(rs IS NOT NULL AS INTEGER) + CAST(ks IS NOT NULL AS INTEGER) AS n, round(coalesce(rs, 0) + coalesce(ks, 0), 6) AS fused
+      FROM sa FULL JOIN sb ON sa.source_id = sb.source_id AND sa.chunk_id = sb.chunk_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fused DESC, n DESC, coalesce(ks, 0) DESC, coalesce(rs, 0) DESC, chunk_id) AS rank FROM f)
+SELECT r.source_id, r.chunk_id, CAST(rank AS INTEGER) AS rank, n AS source_count, round(fused, 4) AS fused, CASE WHEN v.embedding IS NULL THEN 'skipped' ELSE 'ok' END AS knn_status
+FROM r JOIN v ON r.source_id = v.chunk_id WHERE rank <= 100""")
+def hybrid_by_repo(spark, sf):
+    """The composed query: a repository's chunks through both arms and their fusion."""
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding")
+    corpus = chunks(spark, sf).drop("raw_code").join(vectors, "chunk_id", "left")
+    out = hybrid.by_repo(corpus, "github:src0/corpus")
+    return out.select("source_id", "chunk_id", F.col("rank").cast("int").alias("rank"), "source_count", F.round("fused", 4).alias("fused"), "knn_status")
+
+
 _SPDX = ["", "AGPL-3.0", "GPL-2.0", "LGPL-2.1", "MPL-2.0", "Apache-2.0", "MIT", "0BSD", "CC0-1.0", "Unlicense", "Custom"]
 _SPDX_SQL = "list_extract([" + ", ".join(f"'{x}'" for x in _SPDX) + "], CAST(s_suppkey % 11 + 1 AS BIGINT))"
 _FAMILY_SQL = """CASE WHEN spdx = '' THEN 'unknown' WHEN regexp_matches(upper(spdx), 'AGPL|GPL|SSPL|BUSL|CPAL') THEN 'strong_copyleft' WHEN regexp_matches(upper(spdx), 'LGPL|MPL|EPL|CDDL') THEN 'weak_copyleft'
@@ -528,10 +549,11 @@ def stale_delete_antijoin(spark, sf):
     return stale(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
 
 
-@register("partial_upsert", "SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, lang, CASE WHEN l.doc_id IS NOT NULL THEN 'labelled' ELSE source END AS source, quality FROM (SELECT * FROM documents WHERE doc_id % 2 = 0) d FULL JOIN labels l ON d.doc_id = l.doc_id")
+@register("partial_upsert", "SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, lang, CASE WHEN l.doc_id IS NOT NULL THEN 'labelled' ELSE source END AS source, quality FROM documents d FULL JOIN (SELECT doc_id + 100 AS doc_id, quality FROM labels) l ON d.doc_id = l.doc_id")
 def partial_upsert(spark, sf):
-    d = table(spark, sf, "documents").where("doc_id % 2 = 0").select("doc_id", "lang", "source")
-    return upsert(d, table(spark, sf, "labels").select("doc_id", F.lit("labelled").alias("source"), "quality"), "doc_id")
+    """Whole tables; labels are shifted by 100 ids, so that some are of no document."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    return upsert(d, table(spark, sf, "labels").select((F.col("doc_id") + 100).alias("doc_id"), F.lit("labelled").alias("source"), "quality"), "doc_id")
 
 
 @register("identity_digests", "SELECT doc_id, 'github:' || source || '/corpus:file:' || sha1(source || '/' || doc_id) AS file_id, sha1(source || '|' || doc_id || '|function|1|2||v1') AS chunk_id, substr(sha1(source), 1, 12) AS digest, 'cursor:t:' || lang || ':' || substr(sha1(source), 1, 12) AS cursor_id FROM documents")
