@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 #: The words of a text: runs of anything but space and the five controls from tab to return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -132,6 +132,12 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def counted(self, df: DataFrame, name: str, *more: Column) -> tuple[DataFrame, tuple]:
+        """``keep``, with the number of rows (and further aggregates) that the write itself observed."""
+        seen = Observation()
+        kept = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(f"x{i}") for i, c in enumerate(more)]), name)
+        return kept, (seen.get["n"], *[seen.get[f"x{i}"] for i in range(len(more))])
+
     def drop(self, *names: str) -> None:
         for name in names:
             _delete(self.spark, self.path(name))
