@@ -1,6 +1,7 @@
 """Cutting files into chunks: functions and classes with tokens, signatures and anonymised code; line windows otherwise.
 
-Python is parsed with the standard library; other languages need a parser that is given (``parsers``), and give line windows without.
+Python is parsed with the standard library and languages with braces are scanned (``braces``); others need a parser that is given (``parsers``),
+and give line windows without.
 Files are texts of one column, so this runs as ``mapInPandas`` over batches of files.
 """
 
@@ -236,7 +237,9 @@ SCHEMA = (
 
 def chunk_files(files: DataFrame, windows: bool = True, parsers: dict[str, Callable[[str], list[Chunk]]] | None = None) -> DataFrame:
     """Chunks of files (repo_id, file_path, language, text)."""
-    by_language = {"python": python_chunks, **(parsers or {})}
+    from graniteloom.operators import braces  # builds on this module
+
+    by_language = {"python": python_chunks, **braces.parsers(), **(parsers or {})}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.strip().split(" ")[0] for c in re.sub(r"<[^>]*>", "", SCHEMA).split(",")]
