@@ -325,21 +325,28 @@ def registry_payload_urls(spark, sf):
 
 
 def _seed_tables(spark, sf):
+    """Whole tables; the incoming ids are shifted by 100, so that some are new and some are named by no ingest."""
     c = table(spark, sf, "customer")
     u = lambda *xs: F.array(*xs)
-    key, seg = F.col("c_custkey"), F.col("c_mktsegment")
-    base = [key.cast("string").alias("_id"), F.lit("t").alias("source_type"), seg.alias("source_name"), F.col("c_name").alias("source_item_id")]
-    old = c.where(key % 3 != 0).select(*base, u(F.lit("b"), F.lit("a")).alias("candidate_repo_urls"), F.when(key % 2 == 0, "registered").otherwise("").alias("status"), *[F.to_timestamp(F.lit("1997-01-01")).alias(n) for n in ("first_seen_at", "last_seen_at", "last_ingested_at")])
-    new = c.where(key % 2 == 0).select(*base, F.when(key % 5 == 0, u(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(u(F.lit("a"), F.lit(" b "), F.lit("a"))).alias("candidate_repo_urls"))
+
+    def base(key, item):
+        return [key.cast("string").alias("_id"), F.lit("t").alias("source_type"), F.lit("n").alias("source_name"), F.concat(item, key).alias("source_item_id")]
+
+    key = F.col("c_custkey")
+    old = c.select(*base(key, F.lit("i")), u(F.lit("b"), F.lit("a")).alias("candidate_repo_urls"), F.when(key % 2 == 0, "registered").otherwise("").alias("status"), *[F.to_timestamp(F.lit("1997-01-01")).alias(n) for n in ("first_seen_at", "last_seen_at", "last_ingested_at")])
+    key = F.col("c_custkey") + 100
+    new = c.select(*base(key, F.when(key % 7 == 0, "j").otherwise("i")), F.when(key % 5 == 0, u(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(u(F.lit("a"), F.lit(" b "), F.lit("a"))).alias("candidate_repo_urls"))
     return old, new
 
 
-@register("seed_upsert_changed", f"""SELECT CAST(c_custkey AS VARCHAR) AS _id,
-  CASE WHEN c_custkey % 2 = 0 THEN CASE WHEN c_custkey % 3 = 0 OR c_custkey % 5 = 0 THEN 'ingested' ELSE 'registered' END ELSE '' END AS status,
-  CASE WHEN c_custkey % 2 = 0 AND c_custkey % 3 = 0 THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '1997-01-01' END AS first_seen_at,
-  CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '1997-01-01' END AS last_seen_at,
-  CASE WHEN c_custkey % 2 = 0 AND (c_custkey % 3 = 0 OR c_custkey % 5 = 0) THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '1997-01-01' END AS last_ingested_at
-FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0""")
+@register("seed_upsert_changed", f"""WITH s AS (SELECT coalesce(o.k, n.k) AS k, o.k IS NULL AS fresh, n.k IS NULL AS unnamed FROM (SELECT c_custkey AS k FROM customer) o FULL JOIN (SELECT c_custkey + 100 AS k FROM customer) n ON o.k = n.k),
+c AS (SELECT *, NOT unnamed AND (fresh OR k % 5 = 0 OR k % 7 = 0) AS changed FROM s)
+SELECT CAST(k AS VARCHAR) AS _id,
+  CASE WHEN changed THEN 'ingested' WHEN k % 2 = 0 THEN 'registered' WHEN unnamed THEN '' ELSE 'ingested' END AS status,
+  CASE WHEN fresh THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '1997-01-01' END AS first_seen_at,
+  CASE WHEN unnamed THEN TIMESTAMP '1997-01-01' ELSE TIMESTAMP '{NOW}' END AS last_seen_at,
+  CASE WHEN changed THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '1997-01-01' END AS last_ingested_at
+FROM c""")
 def seed_upsert_changed(spark, sf):
     old, new = _seed_tables(spark, sf)
     return seeds.seed_upsert(old, new, now()).select("_id", "status", "first_seen_at", "last_seen_at", "last_ingested_at")
