@@ -203,6 +203,8 @@ def _header(toks: list[Token], pair: dict[int, int], brace: int) -> list[int]:
     out, i = [], brace - 1
     while i >= 0:
         t = toks[i]
+        if t.text == ":" and i and toks[i - 1].text in ("public", "protected", "private"):  # a label of members
+            break
         if t.kind == "sign" and (t.text in ("(", "[") or (t.text in ";{}," and not _goes_on(toks, pair, i, out))):
             break
         if t.text in (")", "]") and i in pair:
@@ -260,6 +262,15 @@ def _told(toks: list[Token], pair: dict[int, int], brace: int, lang: Language, i
             if text[j] == ":" and is_name(j - 1) and "=" in text[j:]:
                 return "function", text[j - 1], head[j - 1]
         return None
+    for j, w in enumerate(text):  # type parameters between a name and its list are left out
+        if w == "(" and j and text[j - 1] == ">":
+            k, depth = j - 1, 1
+            while k > 0 and depth:
+                k -= 1
+                depth += (text[k] == ">") - (text[k] == "<")
+            if not depth and is_name(k - 1):
+                head, text = head[:k] + head[j:], text[:k] + text[j:]
+            break
     opens = [j for j, w in enumerate(text) if w == "(" and is_name(j - 1) and not (j >= 2 and text[j - 2] == "@")]
     opens = [j for j in opens if not text[j - 1].startswith("@")]
     if not opens or any(w in ("=", "=>", "->") and j < opens[0] for j, w in enumerate(text)):

@@ -95,8 +95,17 @@ CSHARP = '''class A {
 }
 '''
 
+TS = "export class A<T, U> {\n  private go<V>(x: number, y?: string): Map<string, V> {\n    return f(x)\n  }\n}\nexport const h = async (a: number): Promise<void> => {\n  await g(a)\n}\n"
+CPP = "namespace n {\nclass A : public B {\n public:\n  A(int x) : x_(x) {\n    go();\n  }\n  int go() const {\n    return 'x';\n  }\n};\nint A::run(int n) {\n  for (;;) { }\n  return n;\n}\n}\n"
+SWIFT = "class A: B, C {\n  init(x: Int) {\n    self.x = x\n  }\n  func go(_ n: Int) -> Int {\n    guard n > 0 else { return 0 }\n    return n\n  }\n}\n"
+SCALA = "object A extends B with C {\n  def go(n: Int): Int = {\n    n + 1\n  }\n}\n"
+
 
 @pytest.mark.parametrize("language,source,want", [
+    ("typescript", TS, [("class", "A", 1, 5, ""), ("function", "go", 2, 4, "A"), ("function", "h", 6, 8, "")]),
+    ("cpp", CPP, [("function", "A", 4, 6, "A"), ("function", "go", 7, 9, "A"), ("function", "run", 11, 14, "")]),
+    ("swift", SWIFT, [("class", "A", 1, 9, ""), ("function", "init", 2, 4, "A"), ("function", "go", 5, 8, "A")]),
+    ("scala", SCALA, [("class", "A", 1, 5, ""), ("function", "go", 2, 4, "A")]),
     ("javascript", JS, [("class", "Box", 3, 9, ""), ("function", "put", 4, 8, "Box"), ("function", "add", 10, 13, ""), ("function", "walk", 17, 21, "")]),
     ("java", JAVA, [("class", "Box", 2, 12, ""), ("function", "put", 4, 8, "Box"), ("function", "Box", 9, 11, "Box")]),
     ("go", GO, [("class", "Box", 2, 4, ""), ("function", "Put", 5, 8, ""), ("function", "main", 9, 13, "")]),
