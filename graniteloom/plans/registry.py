@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from graniteloom.plans import catalog  # noqa: F401  registers on import
+    from graniteloom.plans import catalog, states  # noqa: F401  register on import
 
 
 def queries() -> dict[str, Query]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,3 +29,17 @@ def local_session(cpus: int = 8, app: str = "graniteloom", **conf: str) -> Spark
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, read by Spark (any file system that Spark knows)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+
+    Where the setting is absent on a single machine (tests) a temporary folder is made; a cluster must name one.
+    """
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if path is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="graniteloom-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path
