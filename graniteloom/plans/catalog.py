@@ -435,7 +435,11 @@ def sha1_shard(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", T.shard_of(F.concat(F.lit("github:o"), "c_custkey", F.lit("/r")), 36).alias("shard"))
 
 
-@register("lpt_shard_plan")
+@register("lpt_shard_plan", """WITH RECURSIVE w AS (SELECT CAST(l_suppkey AS VARCHAR) AS repo_id, CAST(sum(l_quantity) AS BIGINT) AS weight FROM lineitem GROUP BY 1), e AS (SELECT *, row_number() OVER (ORDER BY weight DESC, repo_id) AS i FROM w),
+s AS (SELECT CAST(0 AS BIGINT) AS i, '' AS repo_id, CAST(0 AS BIGINT) AS weight, [CAST(0 AS BIGINT) FOR j IN range(8)] AS held, [CAST(0 AS BIGINT) FOR j IN range(8)] AS n, CAST(-1 AS BIGINT) AS shard
+  UNION ALL SELECT i, repo_id, weight, [CASE WHEN j = shard THEN held[j + 1] + weight ELSE held[j + 1] END FOR j IN range(8)], [CASE WHEN j = shard THEN n[j + 1] + 1 ELSE n[j + 1] END FOR j IN range(8)], shard
+  FROM (SELECT e.i, e.repo_id, e.weight, s.held, s.n, list_min([(s.held[j + 1] * 1000000 + s.n[j + 1]) * 8 + j FOR j IN range(8)]) % 8 AS shard FROM s JOIN e ON e.i = s.i + 1))
+SELECT repo_id, weight, 'light' AS phase, CAST(shard AS INTEGER) AS shard FROM s WHERE i > 0""")
 def lpt_shard_plan(spark, sf):
     w = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.sum("l_quantity").cast("bigint").alias("weight")).select(F.col("l_suppkey").cast("string").alias("repo_id"), "weight", F.lit("light").alias("phase"))
     return stages.plan_shards(w, 8)
@@ -528,7 +532,11 @@ def ordered_distinct_cap(spark, sf):
     return c.select("conv_id", "turn", F.array_join("ws", " ").alias("terms"))
 
 
-@register("rate_limit_sliding")
+@register("rate_limit_sliding", """WITH RECURSIVE e AS (SELECT coalesce(trim(CAST(user_id AS VARCHAR)), 'unknown') AS key, epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),
+s AS (SELECT DISTINCT key, CAST(0 AS DOUBLE) AS t, CAST(0 AS BIGINT) AS i, CAST([] AS DOUBLE[]) AS times, false AS allowed, CAST(0 AS BIGINT) AS remaining, CAST(0 AS BIGINT) AS retry FROM e
+  UNION ALL SELECT key, t, i, CASE WHEN len(kept) < 3 THEN list_append(kept, t) ELSE kept END, len(kept) < 3, CASE WHEN len(kept) < 3 THEN 2 - len(kept) ELSE 0 END, CASE WHEN len(kept) < 3 THEN 0 ELSE greatest(1, CAST(trunc(kept[1] + 86400 - t) AS BIGINT)) END
+  FROM (SELECT e.key, e.t, e.i, [x FOR x IN s.times IF x > e.t - 86400] AS kept FROM s JOIN e ON e.key = s.key AND e.i = s.i + 1))
+SELECT key, t AS "at", allowed, CAST(remaining AS INTEGER) AS remaining, CAST(retry AS INTEGER) AS retry_after FROM s WHERE i > 0""")
 def rate_limit_sliding(spark, sf):
     e = table(spark, sf, "events").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")).withColumn("at", F.col("us") / 1e6)
     return streams.rate_limit(e, "user_id", "at", 3, 86400)
@@ -594,7 +602,9 @@ def domain_families(spark, sf):
     return d.select("doc_id", F.array_join("f.active", ",").alias("active"), F.col("f.primary").alias("primary"))
 
 
-@register("identifier_terms")
+@register("identifier_terms", rf"""WITH n AS (SELECT p_partkey, 'get' || array_to_string([upper(x[1]) || lower(x[2:]) FOR x IN string_split(regexp_replace(p_name, '[^A-Za-z ]', '', 'g'), ' ')], ' ') || 'HTTPServer' || p_size AS name FROM part),
+t AS (SELECT p_partkey, name, [lower(x) FOR x IN regexp_extract_all(regexp_replace(regexp_replace(name, '[.-]', '_', 'g'), '([A-Z]+)([A-Z][a-z])', '\1_\2', 'g'), '[A-Z]?[a-z]+|[A-Z]+|[0-9]+') IF lower(x) NOT IN ({", ".join(f"'{x}'" for x in tokens.GENERIC_TERMS)})] AS terms FROM n)
+SELECT p_partkey, array_to_string(list_sort(list_distinct(terms)), ' ') AS terms, array_to_string(list_sort(list_distinct(list_append(terms, regexp_replace(lower(name), '[^a-z0-9]+', '', 'g')))), ' ') AS variants FROM t""")
 def identifier_terms(spark, sf):
     p = table(spark, sf, "part")
     name = F.concat(F.lit("get"), F.initcap(F.regexp_replace("p_name", "[^A-Za-z ]", "")), F.lit("HTTPServer"), F.col("p_size"))
