@@ -6,11 +6,12 @@ Every query reads its whole tables; a limit stands only where it is the operator
 from __future__ import annotations
 
 import atexit
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graniteloom.functions import classify, text as T, urls
+from graniteloom.functions import classify, registries, text as T, urls
 from graniteloom.operators import search, seeds, stages
 from graniteloom.operators.store import Collection
 from graniteloom.plans.catalog import NOW, _STATE_SQL, _repo_state, chunks, now
@@ -216,3 +217,37 @@ SELECT page_id, array_to_string(list_sort(list_distinct(u)), ' ') AS urls, CAST(
 def page_link_lists(spark, sf):
     found = table(spark, sf, "pages").select("page_id", T.sorted_distinct(urls.links(F.col("html"))).alias("u"))
     return found.select("page_id", F.array_join("u", " ").alias("urls"), F.size("u").alias("n"))
+
+
+def _payloads() -> dict[str, str]:
+    """A payload per registry that is read by paths: a text at every path, some blank, some repeated; @ stands for a row's id."""
+    found = {}
+    for name, paths in registries.PATHS.items():
+        root: dict = {}
+        for i, path in enumerate(paths):
+            *parents, leaf = path.strip("{}").removeprefix("$.").split(".")
+            at = root
+            for p in parents:
+                at = at.setdefault(p, {})
+            value = "  " if i % 4 == 3 else f" https://{name}{i % 2}.example/@ "
+            at[leaf] = {"a": value, "b": f"https://{name}.example/b/@"} if path[0] == "{" else value
+        found[name] = json.dumps(root)
+    return found
+
+
+def _payload_sql() -> str:
+    """Each payload read by DuckDB's JSON functions: trimmed, not empty, each once in the order of the paths."""
+    parts = []
+    for name, payload in _payloads().items():
+        texts = [f"coalesce(json_extract_string(j, '{p.strip('{}')}.*'), [])" if p[0] == "{" else f"[json_extract_string(j, '{p}')]" for p in registries.PATHS[name]]
+        trimmed = f"[trim(x) FOR x IN list_concat({', '.join([*texts, '[]'])}) IF trim(x) <> '']"
+        parts.append(f"SELECT page_id, '{name}' AS registry, {trimmed} AS u FROM (SELECT page_id, CAST(replace('{payload}', '@', CAST(page_id AS VARCHAR)) AS JSON) AS j FROM pages)")
+    return f"WITH f AS ({' UNION ALL '.join(parts)}) SELECT page_id, registry, array_to_string([x FOR x, i IN u IF list_position(u, x) = i], ' ') AS urls FROM f"
+
+
+@register("registry_fields", _payload_sql())
+def registry_fields(spark, sf):
+    """References in the payloads of every registry whose fields are read by path."""
+    pages = table(spark, sf, "pages").select("page_id")
+    read = [F.struct(F.lit(n).alias("registry"), F.array_join(registries.candidate_urls(n, F.replace(F.lit(p), F.lit("@"), F.col("page_id").cast("string"))), " ").alias("urls")) for n, p in _payloads().items()]
+    return pages.select("page_id", F.explode(F.array(*read)).alias("r")).select("page_id", "r.registry", "r.urls")
