@@ -15,7 +15,7 @@ Jaccard similarity is 0.8 or more differ in at most (|A| + |B|) / 9 shingles. Pa
 
 Groups that share a signature are never paired off whole. Exact copies of a set are one node. Every
 group first offers its smallest member to the others (a star); each node then has the nearest of its leaders checked, and components follow.
-Groups that are then in one component are done. What more than ``CROWDED`` sets outside of a group's
+Pairs that are a group of their own and aren't in one component by then are all checked. Groups that are in one component are done. What more than ``CROWDED`` sets outside of a group's
 largest component share is split by the signatures of a second, independent partitioning (linked sets share one under every seed, so
 the pair of signatures is a finer exact key). In the groups that are left, rounds of leaders from outside the largest component (about ``LEADERS`` a
 group) are held against all members of other components. In the first round a node leads in two of its groups and has its one nearest
@@ -219,7 +219,7 @@ _GROUP = pa.schema([("gid", pa.int64()), ("leader", pa.int64()), ("node", pa.int
 
 
 def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups, of rows sorted by bucket: rows (gid, leader, node); gid null for groups of two, which a star decides.
+    """Groups, of rows sorted by bucket: rows (gid, leader, node); gid null for groups of two, whose pairs are checked after the star.
 
     Equal pairs and equal groups of a task are told once as far as a bounded memory of them goes.
     """
@@ -288,7 +288,8 @@ _NEAR = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("
 def _near(most: int | None, by_root: bool = True):
     """Of rows (key, salt, lead, node, root, n, sketch) in order of key, salt and leaders first: pairs (leader a, member b) of different roots that sketches don't rule out.
 
-    ``most`` of each leader and root (or of each leader alone), the nearest; ``more`` tells whether a leader had more than these.
+    ``most`` of each leader and root (or of each leader alone), the nearest. Rows without b and with ``more`` name the leaders that have pairs beyond
+    these: the one whose list was full, and the one left out of it if that leads too (as two leaders are compared once).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +300,8 @@ def _near(most: int | None, by_root: bool = True):
 
         def close() -> None:
             for (a, _), bs in found.items():
-                out.extend((at[0], a, b, far, a in more) for far, b in bs)
+                out.extend((at[0], a, b, far, False) for far, b in bs)
+            out.extend((at[0], a, None, None, True) for a in more)
             found.clear()
             more.clear()
 
@@ -334,8 +336,11 @@ def _near(most: int | None, by_root: bool = True):
                     bs = found.setdefault((a, root if by_root else 0), [])
                     bs.append(pair)
                     if len(bs) > most:
-                        bs.remove(max(bs))
+                        last = max(bs)
+                        bs.remove(last)
                         more.add(a)
+                        if last[1] in lead_nodes:
+                            more.add(last[1])
             if len(out) > 10_000:
                 yield table()
         if at is not None:
@@ -450,12 +455,21 @@ class _Join:
         split = self.small(sizes.where("roots > 1").select(F.col("gid").alias("_g"), "big", "total", (F.col("total") - F.col("most")).alias("outside")), f"{name}-split")
         return m.join(split, F.col("gid") == F.col("_g")).select("gid", "node", "root", F.when(F.col("root") != F.col("big"), F.col("outside")).alias("outside")), split
 
+    def pairs_of_two(self, groups: DataFrame, near: DataFrame) -> DataFrame:
+        """Pairs (a, b) among ``near`` that are a group of two, which no round sees, and whose ends haven't met yet."""
+        end = lambda c: self.roots.select(F.col("node").alias(f"_{c}"), F.col("root").alias(f"root_{c}"))
+        met = near.join(end("a"), F.col("a") == F.col("_a"), "left").join(end("b"), F.col("b") == F.col("_b"), "left")
+        apart = self.small(met.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "two-apart")
+        return groups.where("gid IS NULL").join(apart, (F.col("leader") == F.col("a")) & (F.col("node") == F.col("b"))).select("a", "b")
+
     def run(self) -> None:
         groups = self.groups(self.docs.select("text"), 0, "groups")
         star = groups.select(F.col("leader").alias("key"), "node", F.col("node").alias("root")).distinct()
         leads = groups.select(F.col("leader").alias("key"), F.col("leader").alias("node"), F.col("leader").alias("root")).distinct()
         near = self.near(leads, star, None, "star")
-        self.check(near.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")), "star-check")
+        first = self.scratch.keep(near.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")), "star-first")
+        self.check(first, "star-check")
+        self.check(self.pairs_of_two(groups, near.join(first, ["a", "b"], "left_anti")), "two-check")
         hot = groups.where("gid IS NOT NULL")
         live = hot.select("gid", "node").unionByName(hot.select("gid", F.col("leader").alias("node")).distinct())
         for seed in range(1, SEEDS + 1):
@@ -483,7 +497,7 @@ class _Join:
             of = self.small(leads.select(F.col("key").alias("_g")).distinct(), f"led-{k}")
             against = members.join(of, F.col("gid") == F.col("_g"), "left_semi").select(F.col("gid").alias("key"), "node", "root")
             near = self.near(leads, against, 8 ** (k + 1) if k else 1, f"near-{k}", by_root=k > 0)
-            self.check(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), f"check-{k}")
+            self.check(near.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), f"check-{k}")
             unfinished = near.where("more").select("key", F.col("a").alias("node")).distinct()
             done = leads.select("key", "node").join(unfinished, ["key", "node"], "left_anti").withColumnRenamed("key", "gid")
             live, told = self.scratch.counted(members.join(done, ["gid", "node"], "left_anti").select("gid", "node"), f"live-round-{k}")

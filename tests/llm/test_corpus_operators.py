@@ -8,11 +8,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from graniteloom.llm import columns, jaccard, mixing, packing, repeats, search
 from graniteloom.llm.common import Scratch
 from graniteloom.llm.components import components
-from graniteloom.llm.shingles import set_numbers, shingle_sets
+from graniteloom.llm.shingles import odd_sketches, set_numbers, shingle_sets
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, source string, _n int, node long, spans string"
@@ -96,6 +97,30 @@ def test_signatures_are_exact():
                         assert have[i] & have[j], (size, i, j)
 
 
+def test_jaccard_chains(spark):
+    """A middle text that shares one signature with each neighbour, which share none: both links count, whichever is nearer."""
+    rows = []
+    for c in range(12):
+        words = [f"c{c}w{i}" for i in range(13)]
+        rows += [(3 * c + i, " ".join(w), "s") for i, w in enumerate((["first", *words[1:]], words, [*words[:-1], "last"]))]
+    assert {i: c for i, _, c in jaccard.linked(table(spark, rows)).collect()} == {i: 3 * (i // 3) for i, *_ in rows}
+
+
+def test_a_leader_left_out_of_a_full_list_has_more():
+    """Leader 2 is left out of leader 1's list and has no list of its own, so it isn't done."""
+    sets = {1: range(100), 2: range(4, 104), 3: range(1, 100)}
+    rows = []
+    for lead, nodes in ((True, (1, 2)), (False, (1, 2, 3))):
+        for node in nodes:
+            s = np.array(sets[node], dtype=np.uint64)
+            sketch = odd_sketches(s, np.array([0, len(s)]))[0]
+            rows.append((7, 0, lead, node, node if node != 3 else 9, len(s), sketch))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["key", "salt", "lead", "node", "root", "n", "sketch"])
+    out = [r for b in jaccard._near(1, by_root=False)([batch]) for r in b.to_pylist()]
+    assert (1, 2) not in {(r["a"], r["b"]) for r in out}
+    assert {r["a"] for r in out if r["more"]} >= {1, 2}
+
+
 def test_shingles():
     texts = ["a b c d e f", "A b c d e", "one two", "", "  ", "x " * 9, "a b c d e f"]
     s, at = shingle_sets(texts)
