@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from graniteloom.plans import registry
+from graniteloom.plans import catalog, registry
 
 SF = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -46,6 +46,17 @@ def test_query(spark, duck, name):
     assert got == want
 
 
+def test_fused_scores_round_as_the_sql_does(spark, duck, monkeypatch):
+    """Scores of six places that end in 50, as ties in decimal aren't ties in doubles."""
+    scores = [(10 * i + 5) / 100_000 for i in range(20_000)]
+    rows = [("s", str(i), 1, 1, x, "ok") for i, x in enumerate(scores)]
+    found = spark.createDataFrame(rows, "source_id string, chunk_id string, rank int, source_count int, fused double, knn_status string")
+    monkeypatch.setattr(catalog.hybrid, "by_repo", lambda *a: found)
+    got = {int(r["chunk_id"]): r["fused"] for r in catalog.hybrid_by_repo(spark, str(SF)).collect()}
+    want = duck.execute("SELECT i, round((10 * i + 5) / 100000, 4) FROM range(20000) AS r(i)").fetchall()
+    assert got == dict(want)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
