@@ -378,6 +378,17 @@ def test_search_repeated_rows(spark):
         assert got == want and [x[0] for x in got] == [1, 2, 3, 4, 5] and got[0][1] == 0
 
 
+def test_pipeline_chains(spark, tmp_path):
+    """The near-duplicate stage leaves the smallest id of each chain, though one link of a chain isn't its middle text's nearest."""
+    import corpus_pipeline as pipeline
+
+    rows = []
+    for c in range(12):
+        words = [f"c{c}w{i}" for i in range(13)]
+        rows += [(3 * c + i, " ".join(w), "s") for i, w in enumerate((["first", *words[1:]], words, [*words[:-1], "last"]))]
+    assert {r["doc_id"] for r in pipeline.near_copies_out(spark, table(spark, rows), str(tmp_path)).collect()} == set(range(0, 36, 3))
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as pipeline
 
