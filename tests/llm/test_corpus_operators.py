@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -366,6 +367,30 @@ def test_search(spark):
         assert [i for _, i, _ in sorted(got.get(q, []))] == want
 
 
+def test_query_words_take_little_memory():
+    """Packing 1,000 queries of 1,000 words holds no object for each word."""
+    n, each = 1000, 1000
+    words = np.random.default_rng(1).permutation(np.arange(n * each, dtype=np.int64)) * 7919 - 10**9
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.full(each, q)), pa.array(words[q * each : (q + 1) * each]), pa.array(words[q * each : (q + 1) * each] / 3)], names=["query_id", "word", "weight"]) for q in range(n)]
+    tracemalloc.start()
+    seen = 0
+    for out in search._pack_queries(iter(batches)):
+        for r in out.to_pylist():
+            mine = np.sort(words[r["query_id"] * each : (r["query_id"] + 1) * each].view(np.uint64))
+            assert r["words"] == mine.tobytes() and r["weights"] == (mine.view(np.int64) / 3).tobytes()
+            seen += 1
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == n and most < 50_000_000
+
+
+def test_query_words_across_batches():
+    """A query whose rows go on in the next batch is one query."""
+    batches = [pa.RecordBatch.from_arrays([pa.array(q), pa.array(w), pa.array([float(x) for x in w])], names=["query_id", "word", "weight"]) for q, w in (([1, 1, 2], [5, -3, 4]), ([2, 2], [9, 1]), ([2, 3], [2, 8]), ([4], [6]))]
+    got = {r["query_id"]: np.frombuffer(r["words"], dtype=np.uint64).view(np.int64).tolist() for b in search._pack_queries(iter(batches)) for r in b.to_pylist()}
+    assert got == {1: [5, -3], 2: [1, 2, 4, 9], 3: [8], 4: [6]}
+
+
 def test_search_repeated_rows(spark):
     """Rows that repeat an id and text more than k times take one place, in one shard or several."""
     rows = [(i, f"apple w{i} " + "pear " * (i % 5), "s") for i in range(30)]
