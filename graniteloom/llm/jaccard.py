@@ -27,8 +27,8 @@ sets in shingles, so a pair whose sketches differ in more is ruled out without a
 meet in a task as sorted streams, the leader first; hot leaders and groups are dealt over salts of about ``SALT`` members.
 
 Defined cases: a null or empty text has no shingles, links with nothing and is its own component;
-repeated rows are copies of each other; rows with a null id take part through exact copies only (they
-take the component of a copy that has an id, else null); rows that repeat an id with other texts are nodes of their own
+repeated rows are copies of each other; rows with a null id link like any other and
+take their component's smallest id, null if none in it has an id; rows that repeat an id with other texts are nodes of their own
 under the same id; an empty table gives an empty table; further columns are ignored; texts of any length are read whole.
 Sets are compared by 64-bit numbers of shingles, nodes by one 64-bit number of the set.
 """
@@ -42,7 +42,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from graniteloom.llm.common import Scratch, documents, release
 from graniteloom.llm.components import components
@@ -383,9 +383,10 @@ class _Join:
         row = f"struct<doc_id:{docs.schema['doc_id'].dataType.simpleString()},th:bigint>"
         feats = self.docs.mapInArrow(_features, f"doc_id {row}, n_shingles bigint, node bigint, sketch binary")
         self.feats = self.scratch.keep(feats.select("doc_id.*", "n_shingles", "node", "sketch"), "features")
-        rep = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("rep")
+        row = F.struct("doc_id", "th")
+        rep = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), row)), F.min(row)).alias("rep")
         nodes = self.feats.where("node IS NOT NULL").groupBy("node").agg(rep, F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"))
-        self.nodes = self.scratch.keep(nodes.where("rep IS NOT NULL"), "nodes")
+        self.nodes = self.scratch.keep(nodes, "nodes")
         self.roots = None
 
     def small(self, df: DataFrame, name: str) -> DataFrame:
@@ -530,9 +531,10 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``df`` that are their component's smallest id; of rows that repeat an id in one component, the first by text.
 
     Rows that repeat an id with texts of several components are kept or dropped by each; a text without words is a component of its own.
-    Of rows without an id, one stays for each set of shingles that no row with an id has (all without words stay).
+    Of a component in which no row has an id, the first by text stays; rows without an id or words all stay.
     """
-    keep = _rooted(df, id_col, text_col).where("doc_id = component_id").select("doc_id", "th", "root").distinct()
+    rooted = _rooted(df, id_col, text_col)
+    keep = rooted.where("doc_id = component_id").select("doc_id", "th", "root").distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), row.alias("row"))
     kept = rows.join(keep, (F.col("id") == F.col("doc_id")) & (F.xxhash64("text") == F.col("th")))
@@ -540,11 +542,10 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = kept.withColumn("n", F.row_number().over(W.partitionBy("id", "root", own_root).orderBy("text"))).where("n = 1").select("row")
     no_id = rows.where("id IS NULL")
     if not no_id.isEmpty():
-        schema = lambda c: T.StructType([T.StructField("doc_id", rows.schema[c].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sketch", T.BinaryType())])
-        named = rows.where("id IS NOT NULL").select("id", "text").mapInArrow(_features, schema("id")).select("node").where("node IS NOT NULL").distinct()
-        own = no_id.select("row", "text").mapInArrow(_features, schema("row")).select(F.col("doc_id").alias("row"), "node")
-        one = own.where("node IS NOT NULL").join(named, "node", "left_anti").withColumn("n", F.row_number().over(W.partitionBy("node").orderBy("node"))).where("n = 1").select("row")
-        kept = kept.unionByName(one).unionByName(own.where("node IS NULL").select("row"))
+        left = rooted.where("doc_id IS NULL AND component_id IS NULL").select("th", "root").distinct()
+        own = no_id.join(left, F.xxhash64("text") == F.col("th"))
+        one = own.where("root IS NOT NULL").withColumn("n", F.row_number().over(W.partitionBy("root").orderBy("text"))).where("n = 1").select("row")
+        kept = kept.unionByName(one).unionByName(own.where("root IS NULL").select("row"))
     return kept.select(*[F.col("row")[c].alias(c) for c in df.columns])
 
 

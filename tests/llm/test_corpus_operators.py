@@ -149,6 +149,22 @@ def test_deduplicated_by_id_and_component(spark):
     assert Counter((x["doc_id"], x["text"]) for x in out.collect()) == Counter([(3, base[0]), (7, base[1]), (7, base[2]), (8, base[3]), (8, None), (8, "")])
 
 
+@pytest.mark.parametrize("how", [{}, {"BROADCAST_ROWS": 0}])
+def test_rows_without_an_id_link(spark, monkeypatch, how):
+    """Near copies are linked whether or not they have an id: also two without, and two with an id by a third without."""
+    for name, value in how.items():
+        monkeypatch.setattr(jaccard, name, value)
+    words = [f"w{i}" for i in range(13)]
+    chain = [" ".join(w) for w in (["first", *words[1:]], words, [*words[:-1], "last"])]
+    base = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
+    rows = [(4, chain[0]), (None, chain[1]), (9, chain[2]), (6, base[0]), (None, f"{base[0]} more"), (None, base[1]), (None, f"{base[1]} more"), (None, base[1]), (None, ""), (None, None)]
+    df = table(spark, [(*r, "s") for r in rows])
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard.linked(df).collect())
+    assert got == Counter([(4, 4), (None, 4), (9, 4), (6, 6), (None, 6), *[(None, None)] * 5])
+    left = Counter((r["doc_id"], r["text"]) for r in jaccard.deduplicated(df).collect())
+    assert left == Counter([(4, chain[0]), (6, base[0]), (None, base[1]), (None, ""), (None, None)])
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links, Scratch(spark, "t"), "c").collect()}
