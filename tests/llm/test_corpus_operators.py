@@ -407,6 +407,55 @@ def test_query_words_across_batches():
     assert got == {1: [5, -3], 2: [1, 2, 4, 9], 3: [8], 4: [6]}
 
 
+@pytest.mark.parametrize("how", [{}, {"OFTEN": 3, "CELLS": 300, "POSTINGS": 40}, {"OFTEN": 1, "DIGITS": 15}])
+def test_shards_against_sums_in_order(monkeypatch, how):
+    """A task's shards give the best of all documents, and scores to the last digit as sums word by word."""
+    for name, value in how.items():
+        monkeypatch.setattr(search, name, value)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, size=rng.integers(0, 60)) if x < 500) for _ in range(400)] + [None, ""]
+    texts[300:310] = [texts[7]] * 10
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    monkeypatch.setattr(search, "SHARD_CHARACTERS", 8000)
+    index = [r for b in search._build(iter([rows])) for r in b.to_pylist()]
+    assert len(index) > 3 and sum(r["n"] for r in index) == len(texts) and sum(r["texts"] for r in index) == len(texts) - 1
+    assert sum(r["words"] for r in index) == sum(len((t or "").split()) for t in texts)
+    counts = [Counter(dict(zip(w.tolist(), n.tolist(), strict=True))) for w, _, n, _ in (search._counts([t or ""]) for t in texts)]
+    shards = pa.RecordBatch.from_arrays([pa.array([r["data"] for r in index])], names=["data"])
+    df = Counter()
+    for b in search._statistics(iter([shards])):
+        for r in b.to_pylist():
+            df[r["word"] % 2**64] += r["n"]
+    assert df == Counter(w for c in counts for w in c)
+    mean, block = 20.0, []
+    for q in range(0, 400, 20):
+        words = np.array(sorted(counts[q]), dtype=np.uint64)
+        block.append((q, words, np.array([counts[q][w] * math.log1p(400 / df[w]) for w in words.tolist()])))
+    held = type("Held", (), {"value": search.Queries([x for x in block if len(x[1])])})
+    got = {}
+    for b in search._ask(7, mean, held)(iter([shards])):
+        for r in b.to_pylist():
+            got.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+    for q, words, weights in block:
+        score = {}
+        for d, c in enumerate(counts):
+            share, total = search.K1 * (1 - search.B + search.B * float(sum(c.values())) / mean), 0.0
+            for w, x in zip(words.tolist(), weights.tolist(), strict=True):
+                if w in c:
+                    total += x * (c[w] * (search.K1 + 1) / (c[w] + share))
+            if total > 0:
+                score[d] = float(np.round(total, search.DIGITS))
+        assert got.get(q, []) == sorted(score.items(), key=lambda x: (-x[1], x[0]))[:7]
+
+
+def test_an_index_is_small():
+    """A shard takes less than 16 bytes a word of its texts and is read for its statistics too, so that no other pass over texts is needed."""
+    texts = [" ".join(f"w{(7 * i + k * k) % 3000}" for k in range(200)) for i in range(300)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts)], names=["doc_id", "text"])
+    (shard,) = [r for b in search._build(iter([rows])) for r in b.to_pylist()]
+    assert shard["n"] == 300 and len(shard["data"]) < 16 * shard["words"]
+
+
 def test_search_repeated_rows(spark):
     """Rows that repeat an id and text more than k times take one place, in one shard or several."""
     rows = [(i, f"apple w{i} " + "pear " * (i % 5), "s") for i in range(30)]
