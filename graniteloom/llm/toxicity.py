@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from graniteloom.llm.common import documents, release, small_batches
+from graniteloom.llm.common import documents, release, release_driver, small_batches
 
 DECAY = 0.6
 LANDMARKS = 400
@@ -332,6 +332,7 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     got = rows.orderBy(F.xxhash64("_id"), "_id")
     size = F.sum(F.length(F.coalesce("_text", F.lit("")))).over(_first())
     got = got.withColumn("_sum", size).where(F.col("_sum") <= TRAIN_CHARACTERS).select("_text", "_y").collect()
+    release_driver(df.sparkSession)  # the machine is fitted beside it
     return [r[0] or "" for r in got], [r[1] for r in got]
 
 

@@ -1,18 +1,21 @@
 """Operators over a corpus against brute force: search, near duplicates, repeats, packing, mixing, pipeline."""
 
+import gc
 import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from graniteloom.llm import columns, jaccard, mixing, packing, repeats, search
-from graniteloom.llm.common import Scratch
+from graniteloom.llm.common import Scratch, release_driver
 from graniteloom.llm.components import components
 from graniteloom.llm.shingles import odd_sketches, set_numbers, shingle_sets
 from pyspark.sql import functions as F
@@ -468,6 +471,27 @@ def test_search_repeated_rows(spark):
         assert got == want and [x[0] for x in got] == [1, 2, 3, 4, 5] and got[0][1] == 0
 
 
+def test_a_kept_table_leaves_no_freed_memory_in_the_driver(spark):
+    """Freed blocks between used ones stay in an arena of the JVM's malloc until it is told to give them back."""
+    jvm = spark.sparkContext._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+    used = lambda: sum(int(x) for x in re.findall(r"\nPss_Anon:\s+(\d+)", Path(f"/proc/{pid}/smaps_rollup").read_text())) // 1024
+    if not release_driver(spark):
+        pytest.skip("a Java without the command")
+    scratch = Scratch(spark, "trim")
+    scratch.keep(spark.range(1), "first")
+    blocks = [jvm.java.nio.ByteBuffer.allocateDirect(60_000) for _ in range(2000)]
+    blocks = blocks[::20]
+    for _ in range(3):
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.3)
+    before = used()
+    scratch.keep(spark.range(1), "rows")
+    assert used() < before - 50
+    assert len(blocks) == 100
+
+
 def test_pipeline_chains(spark, tmp_path):
     """The near-duplicate stage leaves the smallest id of each chain, though one link of a chain isn't its middle text's nearest."""
     import corpus_pipeline as pipeline
