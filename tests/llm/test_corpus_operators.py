@@ -451,6 +451,33 @@ def test_shards_against_sums_in_order(monkeypatch, how):
         assert got.get(q, []) == sorted(score.items(), key=lambda x: (-x[1], x[0]))[:7]
 
 
+def test_alike_texts_stand_together():
+    """Texts of two vocabularies that come in turn are in blocks of their own, in a shard and among queries, so that a product takes half of the blocks."""
+    r = random.Random(5)
+    texts = [" ".join(r.choices([f"{'ab'[i % 2]}{w}" for w in range(60)], k=80)) for i in range(4 * search.BLOCK)]
+    shard = search.Shard(np.arange(len(texts)), texts)
+    asked = search.Queries([(i, w, np.ones(len(w))) for i, t in enumerate(texts) for w, *_ in [search._counts([t])]])
+    for ids in (shard.ids, asked.ids):
+        assert sorted(ids.tolist()) == list(range(len(texts)))
+        assert len(set((ids[: len(ids) // 2] % 2).tolist())) == len(set((ids[len(ids) // 2 :] % 2).tolist())) == 1
+
+
+def test_scores_that_single_precision_does_not_tell_apart():
+    """Texts whose scores differ by some 1e-9 of themselves are ranked as in doubles, though the product is in single precision."""
+    rng = np.random.default_rng(8)
+    # Of each pair of words, which weigh nearly the same, a text has one.
+    words, weight = [f"w{i}" for i in range(300)], np.repeat(rng.uniform(50, 150, 150), 2) + 0.00001 * rng.integers(0, 9, 300)
+    has = np.arange(0, 300, 2) + rng.integers(0, 2, (200, 150))
+    number = search.word_numbers([" ".join(words)])[0]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([" ".join(words[i] for i in h) for h in has.tolist()])], names=["doc_id", "text"])
+    (index,) = [r for b in search._build(iter([rows])) for r in b.to_pylist()]
+    asked = np.argsort(number)
+    held = type("Held", (), {"value": search.Queries([(q, number[asked], weight[asked]) for q in (1, 2)])})
+    got = [tuple(r.values()) for b in search._ask(7, 150.0, held)(iter([pa.RecordBatch.from_arrays([pa.array([index["data"]])], names=["data"])])) for r in b.to_pylist()]
+    best = sorted(((i, float(np.round(weight[h].sum(), 6))) for i, h in enumerate(has)), key=lambda x: (-x[1], x[0]))[:7]
+    assert got == [(q, *x) for q in (1, 2) for x in best]
+
+
 def test_an_index_is_small():
     """A shard takes less than 16 bytes a word of its texts and is read for its statistics too, so that no other pass over texts is needed."""
     texts = [" ".join(f"w{(7 * i + k * k) % 3000}" for k in range(200)) for i in range(300)]
