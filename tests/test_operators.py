@@ -154,3 +154,32 @@ def test_validate_empty(spark):
     chunks = spark.createDataFrame([], "repo_id string, " + ", ".join(f"{n} string" for n in names))
     r = stages.validate(repos, files, chunks).first()
     assert r["status"] == "validation_failed" and r["failed_rules"] == ["no_extracted_file_docs", "no_extracted_code_file_docs", "no_chunk_docs"] and r["warning_rules"] == ["text_file_count_mismatch"]
+
+
+def test_structural_top_k(spark):
+    """Every row as a query against brute force: large groups of equal tokens, lists, repeated ids, nulls, few others."""
+    import math
+    import random
+
+    rng = random.Random(3)
+    docs = [(i, rng.choice(["en", "de", None]), rng.choice(["s1", "s2", "s3"]), [rng.choice("abc") for _ in range(rng.randrange(3))]) for i in range(300)]
+    docs += [(5, "en", "s1", ["a"]), (400, "rare", None, None), (401, None, None, None), (None, "en", "s1", [])]
+    df = spark.createDataFrame(docs, "i int, chunk_type string, symbol_type string, call_tokens array<string>")
+    boosts, own = {"chunk_type": 1.0, "symbol_type": 1.0, "call_tokens": 2.0}, []
+    for i, kind, symbol, calls in docs:
+        own.append((i, {("chunk_type", kind), ("symbol_type", symbol), *(("call_tokens", c) for c in calls or ())} - {("chunk_type", None), ("symbol_type", None)}))
+    count = {}
+    for _, ts in own:
+        for t in ts:
+            count[t] = count.get(t, 0) + 1
+    scores = {}
+    for q, a in own:
+        for d, b in own:
+            if None not in (q, d) and q != d and a & b:
+                scores[q, d] = scores.get((q, d), 0) + sum(boosts[t[0]] * math.log1p((len(docs) - count[t] + 0.5) / (count[t] + 0.5)) for t in a & b)
+    want = []
+    for q in sorted({q for q, _ in scores}):
+        best = sorted((-round(s, 6), d) for (a, d), s in scores.items() if a == q)[:10]
+        want += [(q, r, d, -s) for r, (s, d) in enumerate(best, 1)]
+    got = search.structural(df, df, "i", "i", 10)
+    assert rows(got.withColumn("score", F.round("score", 6)), "query", "rank", "doc", "score") == want
