@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graniteloom.operators import chunker, retrieval, search, seeds, stages
 from graniteloom.operators.store import Collection
+from graniteloom.plans import registry
 from graniteloom.sources import datasets
 from graniteloom.streaming import streams
 
@@ -183,3 +184,8 @@ def test_structural_top_k(spark):
         want += [(q, r, d, -s) for r, (s, d) in enumerate(best, 1)]
     got = search.structural(df, df, "i", "i", 10)
     assert rows(got.withColumn("score", F.round("score", 6)), "query", "rank", "doc", "score") == want
+
+
+def test_structural_query_takes_every_document(spark):
+    found = registry.queries()["structural_overlap_topk"](spark, "/root/testdata/sf0.001")
+    assert found.select("query").distinct().count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
