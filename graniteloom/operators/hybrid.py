@@ -24,10 +24,8 @@ def rule_arm(sources: DataFrame, corpus: DataFrame, k: int = RULE_K, per_variant
 def vector_arm(sources: DataFrame, corpus: DataFrame, k: int = KNN_K, include_same_repo: bool = False) -> DataFrame:
     """(source_id, chunk_id, score): the nearest ``k`` of each source that has a vector, of its language and other repositories."""
     need = ["chunk_id", "repo_id", "language", "embedding"]
-    on = (F.col("q.language") == F.col("d.language")) & (F.col("q.chunk_id") != F.col("d.chunk_id"))
-    if not include_same_repo:
-        on = on & (F.col("q.repo_id") != F.col("d.repo_id"))
-    near = search.knn(sources.where(has_vector()).select(*need), corpus.where(has_vector()).select(*need), "chunk_id", "chunk_id", "embedding", "embedding", k, on)
+    apart = ("chunk_id",) if include_same_repo else ("chunk_id", "repo_id")
+    near = search.knn(sources.where(has_vector()).select(*need), corpus.where(has_vector()).select(*need), "chunk_id", "chunk_id", "embedding", "embedding", k, ("language",), apart)
     return near.select(F.col("query").alias("source_id"), F.col("doc").alias("chunk_id"), "score")
 
 

@@ -189,3 +189,30 @@ def test_structural_top_k(spark):
 def test_structural_query_takes_every_document(spark):
     found = registry.queries()["structural_overlap_topk"](spark, "/root/testdata/sf0.001")
     assert found.select("query").distinct().count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
+def test_knn_in_blocks(spark, monkeypatch):
+    """Blocks of a few vectors against brute force: ties, copies, zeros, nulls, other lengths, columns that must be equal or differ."""
+    import math
+    import random
+
+    rng = random.Random(5)
+    some = [[rng.choice([-1.0, 0.0, 0.5, 2.0]) for _ in range(3)] for _ in range(60)]
+    table = [(f"n{i}", rng.choice(["x", "y"]), rng.choice(["r", "s", "t"]), v) for i, v in enumerate(some + some[:20])]
+    table += [("z0", "x", "r", [0.0, 0.0, 0.0]), ("z1", "x", "s", None), ("z2", "y", "t", [1.0]), ("z3", "x", "t", [1.0, None, 2.0]), ("z4", None, "r", [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(table, "i string, label string, repo string, v array<float>")
+
+    def cosine(a, b):
+        if a is None or b is None or len(a) != len(b) or None in a + b or not any(a) or not any(b):
+            return 0.0
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))
+        return round(dot(a, b) / (math.sqrt(dot(a, a)) * math.sqrt(dot(b, b))), 6) + 0.0
+
+    want = []
+    for i, label, repo, v in table:
+        near = sorted((-cosine(v, w), j) for j, other, far, w in table if label is not None and label == other and repo != far)
+        want += [(i, r, j, -s) for r, (s, j) in enumerate(near[:4], 1)]
+    monkeypatch.setattr(search, "DOC_NUMBERS", 30)
+    monkeypatch.setattr(search, "QUERY_NUMBERS", 60)
+    got = search.knn(df, df, "i", "i", "v", "v", 4, ("label",), ("repo",))
+    assert rows(got, "query", "rank", "doc", "score") == sorted(want)
