@@ -216,3 +216,25 @@ def test_knn_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(search, "QUERY_NUMBERS", 60)
     got = search.knn(df, df, "i", "i", "v", "v", 4, ("label",), ("repo",))
     assert rows(got, "query", "rank", "doc", "score") == sorted(want)
+
+
+def test_bm25_of_few_queries(spark, monkeypatch):
+    """Blocks of queries, copies, repeated ids, nulls: the same as by joining words, and no pair is shuffled."""
+    import random
+
+    rng = random.Random(11)
+    text = lambda n: " ".join(rng.choice("abcdefghij") * rng.choice([1, 1, 2]) for _ in range(rng.randrange(n)))
+    some = [text(30) for _ in range(80)]
+    docs = spark.createDataFrame([*enumerate(some), *((100 + i, t) for i, t in enumerate(some[:30])), (7, " ".join("a" for _ in some[7].split())), (300, None), (None, "a a b"), (None, "c b c")], "i int, t string")
+    queries = spark.createDataFrame([*((f"q{i}", text(9)) for i in range(300)), ("q5", "a zz"), ("n", None)], "q string, t string")
+    for percent in (0, 60):
+        found = {}
+        for most in (0, 1_000_000):
+            monkeypatch.setattr(search, "BROADCAST_WORDS", most)
+            hits = search.bm25(queries, docs, "q", "i", F.col("t"), F.col("t"), least_percent=percent)
+            top = search.bm25(queries, docs, "q", "i", F.col("t"), F.col("t"), least_percent=percent, k=3)
+            keep = lambda df, *c: sorted((tuple(r) for r in df.select("query", "doc", "matched", F.round("score", 9).alias("s"), *c).where("query <> 'q5'").collect()), key=repr)
+            found[most] = keep(hits), keep(top, "rank")
+        assert found[0] == found[1_000_000] and found[0][0]
+    plan = search.bm25(queries, docs.where("i < 7"), "q", "i", F.col("t"), F.col("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
